@@ -123,16 +123,19 @@ def deviation_alert(
     rows: int = 7,
     k: float = 2.0,
     partition: Sequence[Column | str] = (),
+    include_current: bool = True,
     digits: int = 4,
     nudge: float = 0.0,
 ) -> DataFrame:
-    """Flag rows further than ``k`` standard deviations from their moving mean.
+    """Flag rows further than ``k`` sample standard deviations from their moving mean.
 
-    The frame ends at the row before the current one, so that an outlier cannot widen the
-    band it is checked against. Rows with fewer than two rows before them are never flagged.
+    The band covers the same rows as ``moving_average``. With ``include_current=False`` it
+    covers the ``rows`` rows before the current one, so an outlier cannot widen its own band.
+    Without a standard deviation (fewer than two rows) nothing is flagged.
     """
-    before = _over(partition, order).rowsBetween(-rows, -1)
-    mean, sd = F.avg(measure).over(before), F.stddev_samp(measure).over(before)
+    first, last = (1 - rows, 0) if include_current else (-rows, -1)
+    frame = _over(partition, order).rowsBetween(first, last)
+    mean, sd = F.avg(measure).over(frame), F.stddev_samp(measure).over(frame)
     return df.withColumns(
         {
             "moving_mean": rounded(mean, digits, nudge),

@@ -18,6 +18,8 @@ def workspace(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         base = _FALLBACK.setdefault(app, "")
         if not base:
