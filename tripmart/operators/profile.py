@@ -10,13 +10,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.aggregates import count_where, row_count
 from tripmart.functions.scalars import rounded
-from tripmart.operators.quantiles import quantiles, ranked_values, value_counts
+from tripmart.operators.quantiles import (
+    interpolated,
+    quantiles,
+    ranked_values,
+    value_counts,
+)
 
 # Fixed values of the quality rules and of the charts.
 OUTLIER_MULTIPLIER = 1.5
@@ -186,7 +191,6 @@ class QualityRules:
         default_factory=lambda: {"store_and_fwd_flag": ("Y", "N")}
     )
     outlier_multiplier: float = OUTLIER_MULTIPLIER
-    method: str = "exact"
 
 
 ACTIONS = {
@@ -207,51 +211,88 @@ def quality_issues(df: DataFrame, rules: QualityRules = QualityRules(), nudge: f
     Rules on columns that the table does not have are skipped.
     """
     have = set(df.columns)
-    outliers = [c for c in rules.outliers if c in have]
     checks: list[tuple[str, str, Column]] = []
     checks += [("negative values", c, F.col(c) < 0) for c in rules.negative if c in have]
     checks += [("non-positive values", c, F.col(c) <= 0) for c in rules.non_positive if c in have]
-    if outliers:
-        wanted = {f"{q}_{c}": (c, p) for c in outliers for q, p in (("q1", 0.25), ("q3", 0.75))}
-        # One row, read as a scalar subquery: the main pass stays a single scan.
-        fences = quantiles(df, wanted, rules.method).select(F.struct("*").alias("f")).scalar()
-        for c in outliers:
-            q1, q3 = fences[f"q1_{c}"], fences[f"q3_{c}"]
-            reach = F.lit(rules.outlier_multiplier) * (q3 - q1)
-            checks.append(("outliers", c, (F.col(c) < q1 - reach) | (F.col(c) > q3 + reach)))
     checks += [("missing values", c, F.col(c).isNull()) for c in rules.missing if c in have]
     for c, allowed in rules.flags.items():
         if c in have:
             checks.append(("missing flag", c, F.col(c).isNull()))
             checks.append(("unexpected flag values", c, ~F.col(c).isin(*allowed)))
 
-    found = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(issue).alias("issue"),
-                    F.lit(c).alias("column_name"),
-                    count_where(condition).alias("issue_count"),
-                    row_count().alias("row_count"),
-                )
-                for issue, c, condition in checks
-            ]
-        ).alias("s")
-    ).select(F.inline("s"))
-    copies = duplicate_summary(df).select(
-        F.lit("duplicate rows").alias("issue"),
-        F.lit("(entire row)").alias("column_name"),
-        F.col("duplicate_rows").alias("issue_count"),
-        "row_count",
-    )
+    parts = [
+        duplicate_summary(df).select(
+            F.lit("duplicate rows").alias("issue"),
+            F.lit("(entire row)").alias("column_name"),
+            F.col("duplicate_rows").alias("issue_count"),
+            "row_count",
+        )
+    ]
+    if checks:
+        parts.append(
+            df.agg(
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(issue).alias("issue"),
+                            F.lit(c).alias("column_name"),
+                            count_where(condition).alias("issue_count"),
+                            F.lit(None).cast("bigint").alias("row_count"),
+                        )
+                        for issue, c, condition in checks
+                    ]
+                ).alias("s")
+            ).select(F.inline("s"))
+        )
+    outliers = [c for c in rules.outliers if c in have]
+    if outliers:
+        parts.append(
+            outlier_counts(df, outliers, rules.outlier_multiplier).select(
+                F.lit("outliers").alias("issue"),
+                "column_name",
+                F.col("outlier_count").alias("issue_count"),
+                F.lit(None).cast("bigint").alias("row_count"),
+            )
+        )
     actions = F.create_map(*[F.lit(x) for pair in ACTIONS.items() for x in pair])
-    listed = copies.unionByName(found) if checks else copies
-    return listed.filter((F.col("issue") != "missing values") | (F.col("issue_count") > 0)).select(
-        "issue",
-        "column_name",
-        "issue_count",
-        _percent(F.col("issue_count"), F.col("row_count"), 2, nudge).alias("pct"),
-        F.element_at(actions, F.col("issue")).alias("action"),
+    # One row per finding from here on; the number of rows is known from the duplicate check.
+    total = F.max("row_count").over(Window.partitionBy())
+    return (
+        reduce(DataFrame.union, parts)
+        .withColumn("row_count", total)
+        .filter((F.col("issue") != "missing values") | (F.col("issue_count") > 0))
+        .select(
+            "issue",
+            "column_name",
+            "issue_count",
+            _percent(F.col("issue_count"), F.col("row_count"), 2, nudge).alias("pct"),
+            F.element_at(actions, F.col("issue")).alias("action"),
+        )
+    )
+
+
+def outlier_counts(
+    df: DataFrame, columns: Sequence[str], k: float = OUTLIER_MULTIPLIER
+) -> DataFrame:
+    """``column_name, low_fence, high_fence, outlier_count``: values beyond ``k`` times the
+    interquartile range from the quartiles. Both the quartiles and the counts come from the
+    value counts, so the table is read once."""
+    counts = value_counts(df, {c: c for c in columns})
+    found = ranked_values(
+        counts, {"q1": (None, 0.25), "q3": (None, 0.75)}, series_bound=len(columns)
+    )
+    quartiles = found.groupBy(F.col("series").alias("of")).agg(
+        *[F.max(F.when(F.col("name") == q, interpolated())).alias(q) for q in ("q1", "q3")]
+    )
+    reach = F.lit(float(k)) * (F.col("q3") - F.col("q1"))
+    fences = quartiles.select(
+        "of", (F.col("q1") - reach).alias("low_fence"), (F.col("q3") + reach).alias("high_fence")
+    )
+    outside = (F.col("value") < F.col("low_fence")) | (F.col("value") > F.col("high_fence"))
+    return (
+        counts.join(F.broadcast(fences), F.col("series") == F.col("of"))  # one row per column
+        .groupBy(F.col("of").alias("column_name"), "low_fence", "high_fence")
+        .agg(F.sum(F.when(outside, F.col("weight")).otherwise(F.lit(0))).alias("outlier_count"))
     )
 
 
@@ -263,7 +304,7 @@ def capped_counts(
     counts = value_counts(df, {c: c for c in columns})
     caps = ranked_values(counts, {"cap": (None, cap)}, series_bound=len(columns)).select(
         F.col("series").alias("of"),
-        (F.col("at_floor") + (F.col("at_ceil") - F.col("at_floor")) * F.col("fraction")).alias("cap"),
+        interpolated().alias("cap"),
     )
     capped = counts.join(
         F.broadcast(caps),  # one row per listed column

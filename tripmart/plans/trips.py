@@ -14,6 +14,7 @@ from tripmart.functions.scalars import (
     with_time_parts,
 )
 from tripmart.operators import cleaning
+from tripmart.operators.quantiles import grouped_quantile, quantile_edges
 from tripmart.plans.trip_rules import (
     PAYMENT_DEFAULT,
     PAYMENT_LABELS,
@@ -92,3 +93,39 @@ def clean_trips(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataF
         .drop(*limits.columns)
     )
     return derive_measures(repaired, rules.nudge)
+
+
+def repair_by_share(
+    trips: DataFrame,
+    column: str = "fare_amount",
+    by: str = "trip_distance",
+    parts: int = 10,
+    method: str = "exact",
+) -> DataFrame:
+    """Replace negative values by the median of the positive values in the same share of ``by``.
+
+    The shares are ranges between quantile edges, not a ranking of all trips: trips meet the
+    ``parts`` ranges in a broadcast range join, and the ``parts`` medians in another join.
+    """
+    edges, names = quantile_edges(trips, by, parts, method)
+    inner = [F.col(n) for n in names]
+    lows, highs = [F.lit(float("-inf")), *inner], [*inner, F.lit(float("inf"))]
+    ranges = edges.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("share"), low.alias("above"), high.alias("upto"))
+                    for i, (low, high) in enumerate(zip(lows, highs), start=1)
+                ]
+            )
+        )
+    )
+    inside = (F.col(by) > F.col("above")) & (F.col(by) <= F.col("upto"))
+    placed = trips.join(F.broadcast(ranges), inside, "left").drop("above", "upto")
+    positive = F.when(F.col(column) > 0, F.col(column))
+    medians = grouped_quantile(placed, "share", positive, 0.5, "share_median", groups=parts)
+    return (
+        placed.join(F.broadcast(medians), F.col("share") == F.col("series"), "left")
+        .transform(cleaning.repair_negative, column, "share_median")
+        .drop("series", "share_median")
+    )
