@@ -340,22 +340,26 @@ def histograms(
         (F.when(flat, F.lit(1.0)).otherwise(F.col("high") - F.col("low")) / F.lit(float(bins))).alias("width"),
         "mean",
     )
-    slot = F.floor((F.col("value") - F.col("start")) / F.col("width"))
+    index = F.floor((F.col("value") - F.col("start")) / F.col("width"))
+    keys = ["series", "start", "width", "mean"]
     filled = (
-        capped.join(F.broadcast(ranges), F.col("series") == F.col("of"))
-        .groupBy("series", F.least(slot, F.lit(bins - 1)).cast("int").alias("bin"))
+        capped.join(F.broadcast(ranges), F.col("series") == F.col("of"))  # one row per column
+        .groupBy(*keys, F.least(index, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.sum("weight").alias("bin_count"))
     )
-    grid = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("slot"))
-    edge = F.col("start") + F.col("width") * F.col("slot")
+    # At most ``bins`` entries per column.
+    by_bin = F.map_from_entries(F.collect_list(F.struct("bin", "bin_count")))
+    edge = F.col("start") + F.col("width") * F.col("bin")
     return (
-        grid.join(filled, (F.col("of") == F.col("series")) & (F.col("slot") == F.col("bin")), "left")
+        filled.groupBy(*keys)
+        .agg(by_bin.alias("by_bin"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
         .select(
-            F.col("of").alias("column_name"),
-            F.col("slot").alias("bin"),
+            F.col("series").alias("column_name"),
+            "bin",
             rounded(edge, digits, nudge).alias("bin_low"),
             rounded(edge + F.col("width"), digits, nudge).alias("bin_high"),
-            F.coalesce("bin_count", F.lit(0)).cast("bigint").alias("bin_count"),
+            F.coalesce(F.try_element_at("by_bin", F.col("bin")), F.lit(0)).cast("bigint").alias("bin_count"),
             rounded("mean", digits, nudge).alias("mean"),
         )
         .orderBy("column_name", "bin")

@@ -39,10 +39,10 @@ def value_counts(df: DataFrame, series: Mapping[str, Column | str]) -> DataFrame
     )
 
 
-def ranked_values(
+def _neighbours(
     counts: DataFrame, probabilities: Mapping[str, tuple[str | None, float]], series_bound: int
 ) -> DataFrame:
-    """``name, at_floor, at_ceil, fraction`` for every wanted quantile of every series.
+    """For every wanted quantile of every series, the values around its rank.
 
     ``counts`` has the columns ``series, value, weight``; ``probabilities`` maps a name to
     (series or None for every series, probability). ``series_bound`` is the caller's
@@ -104,23 +104,25 @@ def ranked_values(
     )
     slice_order = Window.partitionBy("series", "name", "before").orderBy("value")
     upto = F.col("before") + F.sum("weight").over(slice_order)
+    ranked = inside.select("*", upto.alias("upto"))
+    first_place = F.col("upto") - F.col("weight")
+
+    def at(rank: str) -> Column:
+        return F.when(F.col(rank).between(first_place, F.col("upto") - 1), F.col("value"))
+
+    return ranked.select(
+        "series", "name", "fraction", at("first").alias("at_floor"), at("last").alias("at_ceil")
+    )
+
+
+def ranked_values(
+    counts: DataFrame, probabilities: Mapping[str, tuple[str | None, float]], series_bound: int
+) -> DataFrame:
+    """``series, name, fraction, at_floor, at_ceil``: one row per quantile and series."""
     return (
-        inside.select("series", "name", "value", "weight", "first", "last", "fraction", upto.alias("upto"))
+        _neighbours(counts, probabilities, series_bound)
         .groupBy("series", "name", "fraction")
-        .agg(
-            F.max(
-                F.when(
-                    F.col("first").between(F.col("upto") - F.col("weight"), F.col("upto") - 1),
-                    F.col("value"),
-                )
-            ).alias("at_floor"),
-            F.max(
-                F.when(
-                    F.col("last").between(F.col("upto") - F.col("weight"), F.col("upto") - 1),
-                    F.col("value"),
-                )
-            ).alias("at_ceil"),
-        )
+        .agg(F.max("at_floor").alias("at_floor"), F.max("at_ceil").alias("at_ceil"))
     )
 
 
@@ -133,9 +135,24 @@ def quantiles_from_counts(
     counts: DataFrame, probabilities: Mapping[str, tuple[str, float]]
 ) -> DataFrame:
     """One row with a column per wanted quantile (null for a series without values)."""
-    found = ranked_values(counts, probabilities, series_bound=1)
-    return found.agg(
-        *[F.max(F.when(F.col("name") == n, interpolated())).alias(n) for n in probabilities]
+    near = _neighbours(counts, probabilities, series_bound=1)
+    parts = ("at_floor", "at_ceil", "fraction")
+    found = near.agg(
+        *[
+            F.struct(
+                *[F.max(F.when(F.col("name") == n, F.col(c))).alias(c) for c in parts]
+            ).alias(n)
+            for n in probabilities
+        ]
+    )
+    return found.select(
+        *[
+            (
+                F.col(f"{n}.at_floor")
+                + (F.col(f"{n}.at_ceil") - F.col(f"{n}.at_floor")) * F.col(f"{n}.fraction")
+            ).alias(n)
+            for n in probabilities
+        ]
     )
 
 
@@ -174,7 +191,8 @@ def grouped_quantile(
     ``groups`` is the known bound on the number of keys (for example the number of buckets).
     """
     counts = (
-        df.select(col(key).alias("series"), col(value).cast("double").alias("value"))
+        df.select(col(key).alias("series"), col(value).cast("double").alias("measure"))
+        .unpivot(["series"], ["measure"], "measure", "value")
         .filter(F.col("value").isNotNull() & F.col("series").isNotNull())
         .groupBy("series", "value")
         .agg(F.count(F.lit(1)).alias("weight"))

@@ -97,17 +97,23 @@ def fare_trend_line(fact: DataFrame, points: int = 50, nudge: float = 0.0) -> Da
 
 def vendor_grid(fact: DataFrame, nudge: float = 0.0) -> DataFrame:
     """Vendor report on a dense vendor x bucket grid: cells without trips hold nulls."""
-    report = vendor_performance(fact, nudge).select(
-        "VendorID", "time_of_day", "avg_fare", "avg_tip_pct"
-    )
-    cells = (
-        fact.select("VendorID")
-        .distinct()
-        .select("VendorID", F.posexplode(F.array(*[F.lit(t) for t in TIME_ORDER])).alias("p", "time_of_day"))
-        .withColumn("position", (F.col("p") + 1).cast("int"))
-        .drop("p")
+    cell = F.struct("avg_fare", "avg_tip_pct")
+    by_bucket = F.map_from_entries(F.collect_list(F.struct("time_of_day", cell)))
+    # A map of at most one entry per bucket and vendor, opened on the fixed list of buckets.
+    rows = vendor_performance(fact, nudge).groupBy("VendorID").agg(by_bucket.alias("cells"))
+    buckets = F.array(*[F.lit(t) for t in TIME_ORDER])
+    return (
+        rows.select("VendorID", "cells", F.posexplode(buckets).alias("at", "time_of_day"))
+        .withColumn("cell", F.try_element_at("cells", F.col("time_of_day")))
+        .select(
+            "VendorID",
+            "time_of_day",
+            (F.col("at") + 1).alias("position"),
+            "cell.avg_fare",
+            "cell.avg_tip_pct",
+        )
+        .orderBy("VendorID", "position")
     )
-    return cells.join(report, ["VendorID", "time_of_day"], "left").orderBy("VendorID", "position")
 
 
 def display_sorted(report: DataFrame, measure: str, tiebreak: str) -> DataFrame:

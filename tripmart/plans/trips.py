@@ -24,8 +24,8 @@ from tripmart.plans.trip_rules import (
 )
 
 
-def derive_measures(df: DataFrame, nudge: float = 0.0) -> DataFrame:
-    """Add time parts, labels and ratios to trips that have pick-up and drop-off times."""
+def derive_times_and_labels(df: DataFrame) -> DataFrame:
+    """Add duration, time parts, weekend flag, time bucket and payment label."""
     timed = with_time_parts(df, "tpep_pickup_datetime", "pickup")
     return timed.withColumns(
         {
@@ -33,12 +33,25 @@ def derive_measures(df: DataFrame, nudge: float = 0.0) -> DataFrame:
             "is_weekend": weekend_flag("pickup_dayofweek"),
             "time_of_day": bucket_for("pickup_hour", TIME_BUCKETS, TIME_DEFAULT),
             "payment_label": label_for("payment_type", PAYMENT_LABELS, PAYMENT_DEFAULT),
+        }
+    )
+
+
+def derive_ratios(df: DataFrame, nudge: float = 0.0) -> DataFrame:
+    """Add tip percentage and revenue per mile, zero where the denominator is not positive."""
+    return df.withColumns(
+        {
             "tip_pct": safe_ratio("tip_amount", "fare_amount", scale=100.0, nudge=nudge),
             "revenue_per_mile": safe_ratio("fare_amount", "trip_distance", nudge=nudge),
         }
     )
 
 
+def derive_measures(df: DataFrame, nudge: float = 0.0) -> DataFrame:
+    """All derived columns of trips that need no repair."""
+    return derive_ratios(derive_times_and_labels(df), nudge)
+
+
 def trip_limits(distinct: DataFrame, rules: CleaningRules) -> DataFrame:
     """The one row every trip is checked against: repair value, caps, plausible duration.
 
@@ -74,25 +87,28 @@ def clean_trips(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataF
         cleaning.keep_positive, "trip_distance"
     )
     limits = trip_limits(distinct, rules)
-    typed = distinct.transform(
-        cleaning.standardise_timestamps,
-        ["tpep_pickup_datetime", "tpep_dropoff_datetime"],
-        rules.timestamp_type,
+    prepared = (
+        distinct.transform(
+            cleaning.standardise_timestamps,
+            ["tpep_pickup_datetime", "tpep_dropoff_datetime"],
+            rules.timestamp_type,
+        )
+        .transform(cleaning.impute_missing_or_zero, "passenger_count", rules.passenger_default)
+        .transform(cleaning.flag_to_boolean, "store_and_fwd_flag")
+        .transform(cleaning.fill_nulls, rules.null_defaults)
+        .transform(derive_times_and_labels)
     )
-    minutes = minutes_between("tpep_pickup_datetime", "tpep_dropoff_datetime")
-    plausible = typed.join(
+    minutes = F.col("trip_duration_mins")
+    plausible = prepared.join(
         F.broadcast(limits),  # exactly one row
         (minutes > F.col("min_minutes")) & (minutes <= F.col("max_minutes")),
     )
-    repaired = (
+    return (
         plausible.transform(cleaning.repair_negative, "fare_amount", "repair_value")
         .transform(cleaning.winsorise, "total_amount", "cap_low", "cap_high")
-        .transform(cleaning.impute_missing_or_zero, "passenger_count", rules.passenger_default)
-        .transform(cleaning.flag_to_boolean, "store_and_fwd_flag")
-        .transform(cleaning.fill_nulls, rules.null_defaults)
         .drop(*limits.columns)
+        .transform(derive_ratios, rules.nudge)
     )
-    return derive_measures(repaired, rules.nudge)
 
 
 def repair_by_share(

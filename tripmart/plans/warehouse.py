@@ -10,7 +10,7 @@ from tripmart.operators.star import dimension, role_dimension, surrogate_key
 from tripmart.plans.trip_rules import FACT_COLUMNS, TIME_COLUMNS, CleaningRules
 from tripmart.plans.trips import clean_trips
 from tripmart.sources.readers import read_available, read_table, register_views
-from tripmart.sources.sinks import write_table, write_tables
+from tripmart.sources.sinks import gather_by, write_table, write_tables
 
 FACT = "fact_trips"
 DIMENSIONS = ("dim_time", "dim_location", "dim_payment", "dim_vendor")
@@ -67,9 +67,12 @@ def build_warehouse(
 
     The cleaning plan runs once. The dimensions read only their own few columns back from
     Parquet, so nothing has to stay cached, and a lost executor never repeats the cleaning.
+    The key is added behind the last shuffle: a running number handed out before it could be
+    handed out twice if a lost task had to be repeated with its rows in another order.
     """
+    gathered = gather_by(clean_trips(raw, rules), PARTITIONS)
     fact_path = write_table(
-        fact_trips(clean_trips(raw, rules), key), f"{base.rstrip('/')}/{FACT}", PARTITIONS
+        fact_trips(gathered, key), f"{base.rstrip('/')}/{FACT}", PARTITIONS, gather=False
     )
     stored = read_table(spark, fact_path)
     return Warehouse({FACT: fact_path, **write_tables(trip_dimensions(stored), base)})

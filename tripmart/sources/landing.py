@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.aggregates import row_count
+from tripmart.sources.sinks import write_table
 
 # Accepted file types and the fewest rows a landed file should have.
 ALLOWED_EXTENSIONS = (".parquet", ".csv", ".json", ".gz")
@@ -97,15 +98,8 @@ def rows_per_file(
 def land_by_month(df: DataFrame, ts: str, base: str, dataset: str) -> str:
     """Write under ``<base>/<dataset>/year=Y/month=M/`` and return the dataset path.
 
-    Rows are rebalanced on the partition columns first: small months are gathered into few
-    files, and a month that holds a large part of the data is split over several tasks.
+    Small months are gathered into few files; a month that holds a large part of the data is
+    split over several tasks.
     """
-    target = f"{base.rstrip('/')}/{dataset}"
-    (
-        df.withColumns({"year": F.year(ts), "month": F.month(ts)})
-        .hint("rebalance", "year", "month")
-        .write.mode("overwrite")
-        .partitionBy("year", "month")
-        .parquet(target)
-    )
-    return target
+    dated = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
+    return write_table(dated, f"{base.rstrip('/')}/{dataset}", ["year", "month"])

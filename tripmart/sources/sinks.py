@@ -7,21 +7,26 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 
 
+def gather_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Bring rows with equal partition values together before a partitioned write.
+
+    Without it every task writes a file into every partition it meets. Adaptive execution
+    splits a value that holds too many rows over several tasks and merges small ones.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def write_table(
     df: DataFrame,
     path: str,
     partition_by: Sequence[str] = (),
     compression: str = "snappy",
-    rebalance: bool = True,
+    gather: bool = True,
 ) -> str:
-    """Overwrite a Parquet table, partitioned when asked.
-
-    With ``rebalance`` the rows of a partitioned table are gathered by partition value first;
-    without it every task writes a file into every partition it meets. Adaptive execution
-    splits a partition value that holds too many rows and merges small ones.
-    """
-    if partition_by and rebalance:
-        df = df.hint("rebalance", *partition_by)
+    """Overwrite a Parquet table, partitioned when asked. ``gather=False`` is for rows that
+    have been brought together already."""
+    if partition_by and gather:
+        df = gather_by(df, partition_by)
     writer = df.write.mode("overwrite").option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
