@@ -99,9 +99,12 @@ def clean_trips(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataF
         .transform(derive_times_and_labels)
     )
     minutes = F.col("trip_duration_mins")
+    inside = (minutes > F.col("min_minutes")) & (minutes <= F.col("max_minutes"))
+    # A bare comparison would let the optimizer derive "minutes is not null" and push that
+    # beneath the duplicate removal on this side only, with the effect described above.
     plausible = prepared.join(
         F.broadcast(limits),  # exactly one row
-        (minutes > F.col("min_minutes")) & (minutes <= F.col("max_minutes")),
+        F.coalesce(inside, F.lit(False)),
     )
     return (
         plausible.transform(cleaning.repair_negative, "fare_amount", "repair_value")
@@ -121,7 +124,8 @@ def repair_by_share(
     """Replace negative values by the median of the positive values in the same share of ``by``.
 
     The shares are ranges between quantile edges, not a ranking of all trips: trips meet the
-    ``parts`` ranges in a broadcast range join, and the ``parts`` medians in another join.
+    ``parts`` ranges in a broadcast range join, and the medians of the shares in another join.
+    Trips without a value in ``by`` form share 0.
     """
     edges, names = quantile_edges(trips, by, parts, method)
     inner = [F.col(n) for n in names]
@@ -137,9 +141,13 @@ def repair_by_share(
         )
     )
     inside = (F.col(by) > F.col("above")) & (F.col(by) <= F.col("upto"))
-    placed = trips.join(F.broadcast(ranges), inside, "left").drop("above", "upto")
+    placed = (
+        trips.join(F.broadcast(ranges), inside, "left")
+        .withColumn("share", F.coalesce("share", F.lit(0)))
+        .drop("above", "upto")
+    )
     positive = F.when(F.col(column) > 0, F.col(column))
-    medians = grouped_quantile(placed, "share", positive, 0.5, "share_median", groups=parts)
+    medians = grouped_quantile(placed, "share", positive, 0.5, "share_median", groups=parts + 1)
     return (
         placed.join(F.broadcast(medians), F.col("share") == F.col("series"), "left")
         .transform(cleaning.repair_negative, column, "share_median")

@@ -51,9 +51,10 @@ class Warehouse:
     def register(self, spark: SparkSession) -> list[str]:
         """Expose the tables to SQL; returns the names of dimensions that are missing."""
         register_views({FACT: self.table(spark, FACT)})
-        found, missing = read_available(spark, {n: self.paths.get(n, "") for n in DIMENSIONS})
+        known = {n: self.paths[n] for n in DIMENSIONS if n in self.paths}
+        found, missing = read_available(spark, known)
         register_views(found)
-        return missing
+        return [n for n in DIMENSIONS if n not in known or n in missing]
 
 
 def build_warehouse(

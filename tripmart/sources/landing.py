@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,14 +22,21 @@ STREAM_ABOVE_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
 
 
+def _uri(path: str) -> str:
+    """Spark's ``file:/x`` as ``file:///x``; other paths as they are."""
+    rest = path.removeprefix("file:")
+    return f"file://{rest}" if rest != path and not rest.startswith("//") else path
+
+
 def _digest(path: str) -> str:
     from pyarrow import fs
 
-    # Spark reports local files as file:/x; the file-system layer wants file:///x.
-    uri = "file://" + path[len("file:") :] if path.startswith("file:/") and not path.startswith("file://") else path
-    filesystem, inner = fs.FileSystem.from_uri(uri)
+    if path.startswith("file:"):
+        filesystem, inner = fs.LocalFileSystem(), _uri(path).removeprefix("file://")
+    else:
+        filesystem, inner = fs.FileSystem.from_uri(path)
     digest = hashlib.md5()
-    with filesystem.open_input_stream(inner) as stream:
+    with filesystem.open_input_stream(inner, compression=None) as stream:
         while chunk := stream.read(CHUNK_BYTES):
             digest.update(chunk)
     return digest.hexdigest()
@@ -50,7 +58,8 @@ def landing_manifest(
 
     Files are spread over the cluster. Small files are hashed by the built-in ``md5``; the
     size filter is pushed to the source, so a large file is never loaded as one value but
-    read in chunks by the task it was assigned to.
+    read in chunks by the task it was assigned to. Scans pass over empty files, so these are
+    added from the list of file names that the scan is planned from.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
@@ -64,9 +73,19 @@ def landing_manifest(
         .select("path", "length")
         .mapInPandas(_stream_digests, "path string, length long, md5 string")
     )
+    listed = [(_uri(unquote(p)),) for p in files.inputFiles()]
+    hashed = small.unionByName(large).withColumn(
+        "path", F.regexp_replace("path", "^file:/(?!/)", "file:///")
+    )
+    names = spark.createDataFrame(listed, "path string")
+    all_files = names.join(hashed, "path", "left").select(
+        "path",
+        F.coalesce("length", F.lit(0)).alias("length"),
+        F.coalesce("md5", F.md5(F.lit(""))).alias("md5"),
+    )
     name = F.element_at(F.split("path", "/"), -1)
     extension = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1))
-    return small.unionByName(large).select(
+    return all_files.select(
         "path",
         name.alias("file_name"),
         F.col("length").alias("size_bytes"),
@@ -85,7 +104,13 @@ def rows_per_file(
     On Parquet no column is read. For text files pass ``spark.read.text(...)`` and the number
     of header lines. Files without any row do not appear; the manifest lists those.
     """
-    counted = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(row_count().alias("n"))
+    # The path arrives URL-encoded, with a plus sign standing for itself.
+    path = F.url_decode(F.replace(F.col("encoded"), F.lit("+"), F.lit("%2B")))
+    counted = (
+        df.groupBy(F.col("_metadata.file_path").alias("encoded"))
+        .agg(row_count().alias("n"))
+        .select(path.alias("path"), "n")
+    )
     rows = F.col("n") - F.lit(header_lines)
     return counted.select(
         "path",
