@@ -82,7 +82,7 @@ def main() -> None:
         built.append(warehouse.build_warehouse(spark, raw, workspace(spark, "bench"), RULES))
 
     cold_build = timed(build)
-    times["build_warehouse"] = timed(build)
+    times["build_warehouse"] = min(timed(build) for _ in range(2))
     fact = built[-1].table(spark, warehouse.FACT)
 
     for report in reports.REPORTS.values():

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tripmart.operators.star import dimension, role_dimension, surrogate_key
 from tripmart.plans.trip_rules import FACT_COLUMNS, TIME_COLUMNS, CleaningRules
@@ -41,12 +42,13 @@ def star_schema(clean: DataFrame, key: str = "sequence") -> dict[str, DataFrame]
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Paths of the stored tables."""
+    """Paths of the stored tables and, where they are known, their schemas."""
 
     paths: dict[str, str]
+    schemas: dict[str, StructType] = field(default_factory=dict)
 
     def table(self, spark: SparkSession, name: str, where: str | None = None) -> DataFrame:
-        return read_table(spark, self.paths[name], where)
+        return read_table(spark, self.paths[name], where, self.schemas.get(name))
 
     def register(self, spark: SparkSession) -> list[str]:
         """Expose the tables to SQL; returns the names of dimensions that are missing."""
@@ -71,9 +73,9 @@ def build_warehouse(
     The key is added behind the last shuffle: a running number handed out before it could be
     handed out twice if a lost task had to be repeated with its rows in another order.
     """
-    gathered = gather_by(clean_trips(raw, rules), PARTITIONS)
-    fact_path = write_table(
-        fact_trips(gathered, key), f"{base.rstrip('/')}/{FACT}", PARTITIONS, gather=False
-    )
-    stored = read_table(spark, fact_path)
-    return Warehouse({FACT: fact_path, **write_tables(trip_dimensions(stored), base)})
+    fact = fact_trips(gather_by(clean_trips(raw, rules), PARTITIONS), key)
+    fact_path = write_table(fact, f"{base.rstrip('/')}/{FACT}", PARTITIONS, gather=False)
+    dimensions = trip_dimensions(read_table(spark, fact_path, schema=fact.schema))
+    paths = {FACT: fact_path, **write_tables(dimensions, base)}
+    schemas = {FACT: fact.schema, **{n: df.schema for n, df in dimensions.items()}}
+    return Warehouse(paths, schemas)

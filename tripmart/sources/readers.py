@@ -7,14 +7,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmart.functions.aggregates import row_count
 
 
-def read_table(spark: SparkSession, path: str, where: str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, where: str | None = None, schema: StructType | None = None
+) -> DataFrame:
     """Parquet scan. Partition columns are discovered from the directory names; a condition
-    on them selects directories before any file is opened."""
-    df = spark.read.parquet(path)
+    on them selects directories before any file is opened. With a known schema no footer is
+    read at planning, and a partitioned table without rows, hence without files, can be read."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    df = reader.parquet(path)
     return df.filter(where) if where else df
 
 
