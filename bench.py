@@ -65,7 +65,8 @@ def scaled_fact(spark: SparkSession, fact: DataFrame) -> DataFrame:
     shifted = fact.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).withColumn(
         "pickup_date", F.col("pickup_date") + F.col("copy") % 34
     )
-    return spark.read.parquet(write_table(shifted.drop("copy"), workspace(spark, "scaled")))
+    spread = shifted.drop("copy").repartition(spark.sparkContext.defaultParallelism)
+    return spark.read.parquet(write_table(spread, workspace(spark, "scaled")))
 
 
 def main() -> None:
