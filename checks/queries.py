@@ -45,8 +45,13 @@ def query(fn: Query) -> Query:
 
 
 def stored(spark: SparkSession, sf_dir: str) -> warehouse.Warehouse:
-    """The warehouse built from ``sf_dir``, written once per application."""
+    """The warehouse built from ``sf_dir``: written once per application, and again if the
+    shared folder was cleared in between."""
     key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _WAREHOUSES:
+        _, missing = readers.read_available(spark, _WAREHOUSES[key].paths)
+        if missing:
+            del _WAREHOUSES[key]
     if key not in _WAREHOUSES:
         base = workspace(spark, "warehouse")
         _WAREHOUSES[key] = warehouse.build_warehouse(spark, raw_trips(spark, sf_dir), base, RULES)

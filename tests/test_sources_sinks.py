@@ -44,6 +44,14 @@ def test_manifest_matches_direct_hashing(spark, landed, limit):
     assert [n for n, r in got.items() if not r["extension_ok"]] == ["odd.xyz"]
 
 
+def test_manifest_without_checksum(spark, landed):
+    out = landing.landing_manifest(spark, str(landed), checksum=False)
+    sizes = {r["file_name"]: r["size_bytes"] for r in out.collect()}
+    assert sizes == {p.name: p.stat().st_size for p in landed.rglob("*") if p.is_file()}
+    assert out.filter("md5 IS NOT NULL").count() == 0
+    assert [n for (n,) in values(out.filter("NOT non_empty"), "file_name")] == ["empty.csv"]
+
+
 def test_rows_per_text_file_without_header(spark, landed):
     lines = spark.read.option("pathGlobFilter", "*.csv").text(str(landed))
     out = landing.rows_per_file(lines, min_rows=2, header_lines=1)

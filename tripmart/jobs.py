@@ -37,13 +37,16 @@ def land(
     Files are refused as a whole if one of them is empty; an unexpected extension or too few
     rows only shows in the returned tables.
     """
-    manifest = landing.landing_manifest(spark, source)
-    empty = manifest.filter(~F.col("non_empty")).select("file_name").take(1)
+    sizes = landing.landing_manifest(spark, source, checksum=False)
+    empty = sizes.filter(~F.col("non_empty")).select("file_name").take(1)
     if empty:
         raise ValueError(f"empty file: {empty[0]['file_name']}")
     rows = spark.read.parquet(source)
     landing.land_by_month(rows, ts, base, dataset)
-    return {"manifest": manifest, "rows_per_file": landing.rows_per_file(rows, min_rows)}
+    return {
+        "manifest": landing.landing_manifest(spark, source),
+        "rows_per_file": landing.rows_per_file(rows, min_rows),
+    }
 
 
 def profile_tables(

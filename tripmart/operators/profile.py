@@ -415,8 +415,11 @@ def densities(
         capped.join(F.broadcast(grid), F.col("series") == F.col("of"))
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
         .select("series", "value", "weight", "n", "h", "point", x.alias("x"))
-        .groupBy("series", "point", "x", "n", "h")
-        .agg(F.sum(F.col("weight") * kernel).alias("mass"))
+        .groupBy("series", "point")
+        .agg(
+            F.sum(F.col("weight") * kernel).alias("mass"),
+            *[F.max(c).alias(c) for c in ("x", "n", "h")],  # equal within a point
+        )
         .select(
             F.col("series").alias("column_name"),
             "point",

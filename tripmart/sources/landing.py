@@ -53,35 +53,40 @@ def landing_manifest(
     allowed: Sequence[str] = ALLOWED_EXTENSIONS,
     glob: str | None = None,
     stream_above: int = STREAM_ABOVE_BYTES,
+    checksum: bool = True,
 ) -> DataFrame:
     """One row per file: size, extension, MD5, and whether it is accepted.
 
     Files are spread over the cluster. Small files are hashed by the built-in ``md5``; the
     size filter is pushed to the source, so a large file is never loaded as one value but
     read in chunks by the task it was assigned to. Scans pass over empty files, so these are
-    added from the list of file names that the scan is planned from.
+    added from the list of file names that the scan is planned from. Without ``checksum`` no
+    file is opened and ``md5`` is null.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     files = reader.load(path)
-    small = files.filter(F.col("length") <= stream_above).select(
-        "path", "length", F.md5("content").alias("md5")
-    )
-    large = (
-        files.filter(F.col("length") > stream_above)
-        .select("path", "length")
-        .mapInPandas(_stream_digests, "path string, length long, md5 string")
-    )
+    if checksum:
+        small = files.filter(F.col("length") <= stream_above).select(
+            "path", "length", F.md5("content").alias("md5")
+        )
+        large = (
+            files.filter(F.col("length") > stream_above)
+            .select("path", "length")
+            .mapInPandas(_stream_digests, "path string, length long, md5 string")
+        )
+        found = small.unionByName(large)
+    else:
+        found = files.select("path", "length", F.lit(None).cast("string").alias("md5"))
     listed = [(_uri(unquote(p)),) for p in files.inputFiles()]
-    hashed = small.unionByName(large).withColumn(
-        "path", F.regexp_replace("path", "^file:/(?!/)", "file:///")
-    )
+    sized = found.withColumn("path", F.regexp_replace("path", "^file:/(?!/)", "file:///"))
+    of_nothing = F.when(F.col("length").isNull() & F.lit(checksum), F.md5(F.lit("")))
     names = spark.createDataFrame(listed, "path string")
-    all_files = names.join(hashed, "path", "left").select(
+    all_files = names.join(sized, "path", "left").select(
         "path",
         F.coalesce("length", F.lit(0)).alias("length"),
-        F.coalesce("md5", F.md5(F.lit(""))).alias("md5"),
+        F.coalesce("md5", of_nothing).alias("md5"),
     )
     name = F.element_at(F.split("path", "/"), -1)
     extension = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1))
