@@ -6,6 +6,18 @@ named subqueries that each statement puts in front.
 
 from __future__ import annotations
 
+from tripmart.plans.trip_rules import (
+    PASSENGER_DEFAULT,
+    PASSENGER_GROUPS,
+    PAYMENT_DEFAULT,
+    PAYMENT_LABELS,
+    TIME_BUCKETS,
+    TIME_DEFAULT,
+    TIME_ORDER,
+    WEEKDAY_NAMES,
+    WEEKDAY_ORDER,
+)
+
 RAW_COLUMNS = [
     "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
     "RatecodeID", "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type",
@@ -63,6 +75,22 @@ limits AS (
   FROM quartiles
 )"""
 
+
+
+def case_of(column: str, labels: dict, default: str | None = None) -> str:
+    """CASE expression of a fixed label table."""
+    arms = " ".join(f"WHEN {key} THEN '{label}'" for key, label in labels.items())
+    return f"CASE {column} {arms}" + (f" ELSE '{default}'" if default else "") + " END"
+
+
+def case_between(expression: str, buckets: list, default: str) -> str:
+    """CASE expression of fixed half-open ranges of whole numbers."""
+    arms = " ".join(
+        f"WHEN {expression} BETWEEN {low} AND {high - 1} THEN '{label}'" for low, high, label in buckets
+    )
+    return f"CASE {arms} ELSE '{default}' END"
+
+
 MINUTES = "(floor(epoch(tpep_dropoff_datetime)) - floor(epoch(tpep_pickup_datetime))) / 60.0"
 
 
@@ -75,13 +103,9 @@ SELECT *,
        CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month,
        CAST(tpep_pickup_datetime AS DATE) AS pickup_date,
        dayofweek(tpep_pickup_datetime) IN (0, 6) AS is_weekend,
-       CASE WHEN hour(tpep_pickup_datetime) BETWEEN 6 AND 11 THEN 'Morning'
-            WHEN hour(tpep_pickup_datetime) BETWEEN 12 AND 16 THEN 'Afternoon'
-            WHEN hour(tpep_pickup_datetime) BETWEEN 17 AND 20 THEN 'Evening'
-            ELSE 'Night' END AS time_of_day,
+       {case_between("hour(tpep_pickup_datetime)", TIME_BUCKETS, TIME_DEFAULT)} AS time_of_day,
        {MINUTES} AS trip_duration_mins,
-       CASE payment_type WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No Charge'
-                         WHEN 4 THEN 'Dispute' ELSE 'Unknown' END AS payment_label,
+       {case_of("payment_type", PAYMENT_LABELS, PAYMENT_DEFAULT)} AS payment_label,
        CASE WHEN fare_amount > 0 THEN round(tip_amount / fare_amount * 100 + 1e-9, 2)
             ELSE 0.0 END AS tip_pct,
        CASE WHEN trip_distance > 0 THEN round(fare_amount / trip_distance + 1e-9, 2)
@@ -180,8 +204,7 @@ tips AS (
 )"""
 GROUPS = f"""
 pax AS (
-  SELECT *, CASE passenger_count WHEN 1 THEN 'Solo(1)' WHEN 2 THEN 'Pair(2)' WHEN 3 THEN 'Small(3)'
-                                 ELSE 'Group(4-6)' END AS pax_group
+  SELECT *, {case_of("passenger_count", PASSENGER_GROUPS, PASSENGER_DEFAULT)} AS pax_group
   FROM fact WHERE passenger_count BETWEEN 1 AND 6
 ),
 pax_sums AS (
@@ -342,12 +365,9 @@ ORACLE: dict[str, str] = {
         f"derived AS ({derived('raw')})",
     ),
     "trip_labels": over_raw(
-        """SELECT payment_type, payment_label, passenger_count, pickup_dayofweek,
-                  CASE pickup_dayofweek WHEN 1 THEN 'Sun' WHEN 2 THEN 'Mon' WHEN 3 THEN 'Tue'
-                       WHEN 4 THEN 'Wed' WHEN 5 THEN 'Thu' WHEN 6 THEN 'Fri' WHEN 7 THEN 'Sat' END
-                    AS day_name,
-                  CASE passenger_count WHEN 1 THEN 'Solo(1)' WHEN 2 THEN 'Pair(2)'
-                       WHEN 3 THEN 'Small(3)' ELSE 'Group(4-6)' END AS pax_group
+        f"""SELECT payment_type, payment_label, passenger_count, pickup_dayofweek,
+                  {case_of("pickup_dayofweek", WEEKDAY_NAMES)} AS day_name,
+                  {case_of("passenger_count", PASSENGER_GROUPS, PASSENGER_DEFAULT)} AS pax_group
            FROM derived""",
         f"derived AS ({derived('raw')})",
     ),
@@ -469,8 +489,7 @@ ORACLE: dict[str, str] = {
     # reports
     "report_hour_weekday_revenue": over_fact(
         f"""SELECT pickup_hour, pickup_dayofweek,
-                   CASE pickup_dayofweek WHEN 1 THEN 'Sun' WHEN 2 THEN 'Mon' WHEN 3 THEN 'Tue'
-                        WHEN 4 THEN 'Wed' WHEN 5 THEN 'Thu' WHEN 6 THEN 'Fri' ELSE 'Sat' END AS day_name,
+                   {case_of("pickup_dayofweek", WEEKDAY_NAMES)} AS day_name,
                    trip_count, {r("fare")} AS avg_fare, {r("total")} AS avg_total,
                    {r("per_mile")} AS avg_rev_per_mile,
                    CAST(rank() OVER (PARTITION BY pickup_dayofweek ORDER BY total DESC) AS INTEGER)
@@ -524,7 +543,8 @@ ORACLE: dict[str, str] = {
         "SELECT pickup_hour, "
         + ", ".join(
             f'{r(f"avg(total_amount) FILTER (WHERE pickup_dayofweek = {d})")} AS "{n}"'
-            for d, n in [(2, "Mon"), (3, "Tue"), (4, "Wed"), (5, "Thu"), (6, "Fri"), (7, "Sat"), (1, "Sun")]
+            for n in WEEKDAY_ORDER
+            for d in [key for key, name in WEEKDAY_NAMES.items() if name == n]
         )
         + " FROM fact GROUP BY pickup_hour"
     ),
@@ -533,8 +553,7 @@ ORACLE: dict[str, str] = {
         GROUP BY zone_id ORDER BY trip_count DESC, zone_id LIMIT 10"""),
     "chart_bucket_volume": over_fact(f"""
         SELECT time_of_day, {COUNT} AS trip_count,
-               CASE time_of_day WHEN 'Morning' THEN 1 WHEN 'Afternoon' THEN 2 WHEN 'Evening' THEN 3
-                                WHEN 'Night' THEN 4 END AS position
+               list_position({TIME_ORDER}, time_of_day) AS position
         FROM fact GROUP BY time_of_day"""),
     "chart_anomaly_volume": over_fact(f"""
         SELECT time_of_day, CAST(count(*) FILTER (WHERE {DISPUTED}) AS BIGINT) AS disputed,
@@ -555,8 +574,7 @@ ORACLE: dict[str, str] = {
     "chart_vendor_grid": over_fact(
         f"""SELECT v."VendorID", g.time_of_day, g.position, {r("fare")} AS avg_fare, {r("tip")} AS avg_tip_pct
             FROM (SELECT DISTINCT "VendorID" FROM fact) v
-            CROSS JOIN (VALUES ('Morning', 1), ('Afternoon', 2), ('Evening', 3), ('Night', 4))
-                       g(time_of_day, position)
+            CROSS JOIN (SELECT unnest({TIME_ORDER}) AS time_of_day, unnest(range(1, 5)) AS position) g
             LEFT JOIN vendor_sums s ON s."VendorID" = v."VendorID" AND s.time_of_day = g.time_of_day""",
         VENDORS,
     ),
