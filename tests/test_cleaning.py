@@ -135,6 +135,15 @@ def test_approximate_statistics_are_an_option(make):
     assert repaired == [6.0]
 
 
+def test_copies_of_one_trip_are_combined_before_the_shuffle(make):
+    rows = [trip()] * 3000 + [trip(PULocationID=i, fare_amount=float(i)) for i in range(100, 200)]
+    out = clean_trips(make(rows, RAW_SCHEMA).repartition(4))
+    assert out.count() == 101
+    plan = cleaning.drop_exact_duplicates(make(rows, RAW_SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("Exchange hashpartitioning")[1]
+    assert "HashAggregate(keys=[" in below
+
+
 def test_clean_trips_of_nothing(make):
     assert clean_trips(make([], RAW_SCHEMA)).count() == 0
 

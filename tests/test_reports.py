@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ def built(spark):
 
 @pytest.fixture(scope="module")
 def fact(spark, built):
-    return built.table(spark, "fact_trips").cache()
+    return built.table(spark, "fact_trips")
 
 
 def total(df, column="trip_count"):
@@ -44,6 +45,20 @@ def test_stored_tables(spark, built, fact):
     assert {s for (s,) in values(summary, "status")} == {"OK"}
 
 
+def test_fact_files_are_ordered_by_date(spark, built):
+    for path in built.table(spark, "fact_trips").inputFiles():
+        dates = [d for (d,) in values(spark.read.parquet(path), "pickup_date")]
+        assert dates == sorted(dates)
+    one_day = built.table(spark, "fact_trips", "pickup_year = 2024 AND pickup_date = DATE'2024-01-05'")
+    assert one_day.count() == values(
+        reports.daily_fares(built.table(spark, "fact_trips")).filter("pickup_date = DATE'2024-01-05'"),
+        "trip_count",
+    )[0][0]
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    pushed = re.search(r"PushedFilters: \[([^]]*)", plan).group(1)
+    assert "EqualTo(pickup_date,2024-01-05)" in pushed, pushed
+
+
 def test_missing_dimension_is_skipped(spark, built):
     paths = {k: v for k, v in built.paths.items() if k != "dim_vendor"}
     assert warehouse.Warehouse(paths).register(spark) == ["dim_vendor"]

@@ -74,7 +74,13 @@ def build_warehouse(
     handed out twice if a lost task had to be repeated with its rows in another order.
     """
     fact = fact_trips(gather_by(clean_trips(raw, rules), PARTITIONS), key)
-    fact_path = write_table(fact, f"{base.rstrip('/')}/{FACT}", PARTITIONS, gather=False)
+    fact_path = write_table(
+        fact,
+        f"{base.rstrip('/')}/{FACT}",
+        PARTITIONS,
+        gather=False,
+        sort_within=["pickup_date"],
+    )
     dimensions = trip_dimensions(read_table(spark, fact_path, schema=fact.schema))
     paths = {FACT: fact_path, **write_tables(dimensions, base)}
     schemas = {FACT: fact.schema, **{n: df.schema for n, df in dimensions.items()}}

@@ -22,11 +22,19 @@ def write_table(
     partition_by: Sequence[str] = (),
     compression: str = "snappy",
     gather: bool = True,
+    sort_within: Sequence[str] = (),
 ) -> str:
-    """Overwrite a Parquet table, partitioned when asked. ``gather=False`` is for rows that
-    have been brought together already."""
+    """Overwrite a Parquet table, partitioned when asked.
+
+    ``gather=False`` is for rows that have been brought together already. ``sort_within``
+    orders the rows of each task, so that a filter on these columns can pass over the row
+    groups of a file by their minimum and maximum; no shuffle is added.
+    """
     if partition_by and gather:
         df = gather_by(df, partition_by)
+    if sort_within:
+        # Led by the partition columns, this is also the order the writer needs.
+        df = df.sortWithinPartitions(*partition_by, *sort_within)
     writer = df.write.mode("overwrite").option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
