@@ -1,8 +1,12 @@
 import gzip
 import hashlib
+import os
 import pathlib
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -44,6 +48,13 @@ def test_manifest_matches_direct_hashing(spark, landed, limit):
     assert [n for n, r in got.items() if not r["extension_ok"]] == ["odd.xyz"]
 
 
+def test_task_function_needs_no_package_on_the_executors(tmp_path):
+    data = cloudpickle.dumps(landing._stream_digests())
+    code = "import pickle, sys; pickle.loads(sys.stdin.buffer.read())"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], input=data, cwd=tmp_path, env=env, check=True)
+
+
 def test_manifest_without_checksum(spark, landed):
     out = landing.landing_manifest(spark, str(landed), checksum=False)
     sizes = {r["file_name"]: r["size_bytes"] for r in out.collect()}

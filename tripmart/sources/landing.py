@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,23 +26,33 @@ def _uri(path: str) -> str:
     return f"file://{rest}" if rest != path and not rest.startswith("//") else path
 
 
-def _digest(path: str) -> str:
-    from pyarrow import fs
+def _stream_digests(chunk_bytes: int = CHUNK_BYTES):
+    """A task function that reads files in chunks and adds their MD5.
 
-    if path.startswith("file:"):
-        filesystem, inner = fs.LocalFileSystem(), _uri(path).removeprefix("file://")
-    else:
-        filesystem, inner = fs.FileSystem.from_uri(path)
-    digest = hashlib.md5()
-    with filesystem.open_input_stream(inner, compression=None) as stream:
-        while chunk := stream.read(CHUNK_BYTES):
-            digest.update(chunk)
-    return digest.hexdigest()
+    It carries all it needs, so the executors need no copy of this package.
+    """
+
+    def digest(path: str) -> str:
+        import hashlib
+
+        from pyarrow import fs
+
+        if path.startswith("file:"):
+            local = path.removeprefix("file:")
+            filesystem, inner = fs.LocalFileSystem(), local.removeprefix("//")
+        else:
+            filesystem, inner = fs.FileSystem.from_uri(path)
+        md5 = hashlib.md5()
+        with filesystem.open_input_stream(inner, compression=None) as stream:
+            while chunk := stream.read(chunk_bytes):
+                md5.update(chunk)
+        return md5.hexdigest()
 
+    def add_digests(batches):
+        for batch in batches:
+            yield batch.assign(md5=[digest(p) for p in batch["path"]])
 
-def _stream_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(md5=[_digest(p) for p in batch["path"]])
+    return add_digests
 
 
 def landing_manifest(
@@ -74,7 +82,7 @@ def landing_manifest(
         large = (
             files.filter(F.col("length") > stream_above)
             .select("path", "length")
-            .mapInPandas(_stream_digests, "path string, length long, md5 string")
+            .mapInPandas(_stream_digests(), "path string, length long, md5 string")
         )
         found = small.unionByName(large)
     else:
