@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import table
 from tripmart.llm.packing import pack_documents
+from tripmart.llm.simhash import near_duplicate_groups
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -21,7 +22,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
 }
 ORACLE: dict[str, str] = {}
