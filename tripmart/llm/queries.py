@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm.common import table
+from tripmart.llm import language
+from tripmart.llm.common import remainder, table
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
 
@@ -26,8 +27,17 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (remainder("doc_id", 3) == 1).alias("held_out")
+    )
+    model = language.fit(docs.filter("not held_out"))
+    return language.predict(docs, model, keep=("doc_id", "held_out"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op7_language_id": op7_language_id,
 }
 ORACLE: dict[str, str] = {}
