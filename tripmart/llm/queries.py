@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import language
+from tripmart.llm import language, toxicity
 from tripmart.llm.common import remainder, table
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
@@ -23,6 +23,19 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TOXIC_FROM = 0.7
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", (remainder("doc_id", 3) == 1).alias("held_out")
+    )
+    labels = table(spark, sf_dir, "labels").filter(remainder("doc_id", 3) != 1)
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs, model, keep=("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= TOXIC_FROM).cast("int"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
@@ -37,6 +50,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op7_language_id": op7_language_id,
 }
