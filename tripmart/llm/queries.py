@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.llm import language, toxicity
 from tripmart.llm.common import remainder, table
+from tripmart.llm.decontamination import contamination
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
 
@@ -48,10 +49,25 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model, keep=("doc_id", "held_out"))
 
 
+def contaminated() -> Column:
+    """At least one hit word in twenty."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op7_language_id": op7_language_id,
+    "op8_decontamination": op8_decontamination,
 }
 ORACLE: dict[str, str] = {}
