@@ -13,6 +13,7 @@ from tripmart.llm.common import remainder, table
 from tripmart.llm.decontamination import contamination
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
+from tripmart.llm.winnowing import fingerprint_edits
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -41,6 +42,19 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def _spelled(entries: str) -> Column:
+    """Kept hashes with their places, as text."""
+    return F.array_join(F.transform(entries, lambda x: F.lower(F.hex(x))), " ")
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint_edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", _spelled("entries").alias("fingerprint"),
+        _spelled("edited_entries").alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", (remainder("doc_id", 3) == 1).alias("held_out")
@@ -67,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_document_fingerprints": op5_document_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
 }
