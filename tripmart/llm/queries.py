@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.llm import language, toxicity
 from tripmart.llm.common import remainder, table
 from tripmart.llm.decontamination import contamination
+from tripmart.llm.katz import katz_scores
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
 from tripmart.llm.winnowing import fingerprint_edits
@@ -77,6 +78,13 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", (remainder("doc_id", 7) == 2).alias("held_out")
+    )
+    return katz_scores(docs, docs.filter("not held_out"), keep=("doc_id", "held_out"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
@@ -84,5 +92,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
+    "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLE: dict[str, str] = {}
