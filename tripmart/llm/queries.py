@@ -14,6 +14,7 @@ from tripmart.llm.decontamination import contamination
 from tripmart.llm.katz import katz_scores
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
+from tripmart.llm.suffix_dedup import without_repeats
 from tripmart.llm.winnowing import fingerprint_edits
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -78,6 +79,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", (remainder("doc_id", 7) == 2).alias("held_out")
@@ -92,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_lm_scoring": op10_lm_scoring,
 }
 ORACLE: dict[str, str] = {}
