@@ -12,6 +12,8 @@ from tripmart.llm import language, toxicity
 from tripmart.llm.common import remainder, table
 from tripmart.llm.decontamination import contamination
 from tripmart.llm.katz import katz_scores
+from tripmart.llm.licenses import license_labels
+from tripmart.llm.oracle import ORACLE
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
 from tripmart.llm.suffix_dedup import without_repeats
@@ -44,6 +46,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_labels(table(spark, sf_dir, "documents")).drop("blocks")
+
+
 def _spelled(entries: str) -> Column:
     """Kept hashes with their places, as text."""
     return F.array_join(F.transform(entries, lambda x: F.lower(F.hex(x))), " ")
@@ -94,10 +100,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_license_scans": op4_license_scans,
     "op5_document_fingerprints": op5_document_fingerprints,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_lm_scoring": op10_lm_scoring,
 }
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -318,8 +318,7 @@ def without_repeats(
         cut, "tid string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
     if not with_text:
-        done = done.drop("kept")
-    done = stored(docs.sparkSession, done, "suffix-texts")
+        done = stored(docs.sparkSession, done.drop("kept"), "suffix-texts")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
     rows = docs.select(*[F.col(k).alias(f"_keep{i}") for i, k in enumerate(keep)], F.md5(text).alias("tid"))
     return rows.join(done, "tid").select(
