@@ -91,7 +91,7 @@ def _common(buffer: np.ndarray, a: np.ndarray, b: np.ndarray, limit: np.ndarray)
         apart = words[a[left] + step] ^ words[b[left] + step]
         stop = apart != 0
         low = apart[stop] & (~apart[stop] + np.uint64(1))
-        out[left[stop]] = np.minimum(step + (np.bitwise_count(low - np.uint64(1)) >> 3), limit[left[stop]])
+        out[left[stop]] = np.minimum(step + (np.bitwise_count(low - np.uint64(1)).astype(np.int64) >> 3), limit[left[stop]])
         left, step = left[~stop], step + 8
     return out
 
