@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tripmart.llm import language, toxicity
 from tripmart.llm.common import remainder, table
 from tripmart.llm.decontamination import contamination
+from tripmart.llm.edits import edited_counts
 from tripmart.llm.katz import katz_scores
 from tripmart.llm.licenses import license_labels
 from tripmart.llm.oracle import ORACLE
@@ -63,6 +64,21 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits of every document: ten code points cut at a quarter, its source and language
+    put in the middle, and twenty at three quarters replaced by the first twenty."""
+    n = F.length("text")
+    edit = lambda start, length, text: F.struct(
+        F.floor(start).cast("int").alias("start"), F.lit(length).alias("length"), text.alias("text")
+    )
+    docs = table(spark, sf_dir, "documents").withColumn("edits", F.array(
+        edit(n / 4, 10, F.lit("")),
+        edit(n / 2, 0, F.concat_ws(" ", F.lit(" from"), "source", "lang")),
+        edit(3 * n / 4, 20, F.substring("text", 1, 20)),
+    ))
+    return edited_counts(docs, TOKENIZER).drop("leaf_chars", "leaf_tokens")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", (remainder("doc_id", 3) == 1).alias("held_out")
@@ -102,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_license_scans": op4_license_scans,
     "op5_document_fingerprints": op5_document_fingerprints,
+    "op6_token_counts": op6_token_counts,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,

@@ -63,7 +63,7 @@ class WordEncoder:
             _ENCODERS[tokenizer_path] = cls(tokenizer_path)
         return _ENCODERS[tokenizer_path]
 
-    def _whole(self, text: str) -> bytes:
+    def whole(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
@@ -91,9 +91,9 @@ class WordEncoder:
         look, out = self.cache.__getitem__, []
         for text, parts in zip(texts, cut):
             if parts is None:
-                out.append(self._whole(text))
+                out.append(self.whole(text))
             else:
-                out.append(self._whole(parts[0]) + b"".join(map(look, parts[1:])))
+                out.append(self.whole(parts[0]) + b"".join(map(look, parts[1:])))
         return out
 
     def encode(self, text: str) -> bytes:
