@@ -6,6 +6,7 @@ named subqueries that each statement puts in front.
 
 from __future__ import annotations
 
+from tripmart.operators.profile import ACTIONS
 from tripmart.plans.trip_rules import (
     PASSENGER_DEFAULT,
     PASSENGER_GROUPS,
@@ -295,21 +296,27 @@ ranges AS (
 def samples_of(relation: str, order: str, column: str) -> str:
     return f"""
 SELECT '{column}' AS column_name,
-       (SELECT left(string_agg(v, ', ' ORDER BY o), 60)
+       (SELECT left(string_agg(v, ', ' ORDER BY o, v), 60)
         FROM (SELECT CAST("{column}" AS VARCHAR) AS v, {order} AS o FROM {relation}
-              WHERE "{column}" IS NOT NULL ORDER BY {order} LIMIT 5)) AS samples"""
+              WHERE "{column}" IS NOT NULL ORDER BY {order}, v LIMIT 5)) AS samples"""
 
 
 ORDER_COLUMNS = {
     "o_orderkey": "bigint",
     "o_custkey": "bigint",
     "o_orderstatus": "string",
+    "o_totalprice": "double",
+    "o_orderdate": "timestamp_ntz",
     "o_orderpriority": "string",
 }
 LINEITEM_COLUMNS = [
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+ALL_TABLES = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+    "embeddings", "pages", "benchmark", "labels", "conversations",
+]
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 STORED = {
     "fact_trips": ("fact", ["trip_distance", "fare_amount", "total_amount", "payment_type"]),
@@ -340,13 +347,19 @@ ORACLE: dict[str, str] = {
         FROM fact WHERE year(pickup_date) = 2024 AND pickup_month = 1
         GROUP BY pickup_month, pickup_date"""),
     "optional_tables_as_views": " UNION ALL ".join(
-        [f"SELECT '{t}' AS table_name, true AS loaded, {COUNT} AS row_count FROM {t}" for t in TABLES]
+        [f"SELECT '{t}' AS table_name, true AS loaded, {COUNT} AS row_count FROM {t}" for t in ALL_TABLES]
         + ["SELECT 'no_such_table', false, CAST(NULL AS BIGINT)"]
     ),
     "landing_rows_per_file": " UNION ALL ".join(
         f"SELECT '{t}.parquet' AS file_name, {COUNT} AS row_count, count(*) >= 500000 AS enough_rows FROM {t}"
-        for t in TABLES
-    ),
+        for t in ALL_TABLES
+    )
+    + " UNION ALL SELECT '(no rows)', CAST(0 AS BIGINT), false",
+    "landing_manifest": """
+        SELECT CAST(r_regionkey AS INTEGER) AS r_regionkey,
+               CAST(strlen(r_name) + 1 AS BIGINT) AS size_bytes, '.txt' AS extension,
+               md5(r_name || chr(10)) AS md5, true AS non_empty, false AS extension_ok
+        FROM region""",
     "landing_by_month": f"""
         SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
                {COUNT} AS order_count, {r("sum(o_totalprice)")} AS total_price
@@ -623,7 +636,8 @@ ORACLE: dict[str, str] = {
                  AS duplicate_rows FROM raw"""),
     "profile_issues": over_raw(
         f"""SELECT issue, column_name, CAST(c AS BIGINT) AS issue_count,
-                   {r("100.0 * c / (SELECT count(*) FROM raw)")} AS pct
+                   {r("100.0 * c / (SELECT count(*) FROM raw)")} AS pct, CASE issue
+                   {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in ACTIONS.items())} END AS action
             FROM (
               SELECT 'duplicate rows' AS issue, '(entire row)' AS column_name,
                      count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS c FROM raw

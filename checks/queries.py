@@ -36,6 +36,7 @@ QUERIES: dict[str, Query] = {}
 _WAREHOUSES: dict[tuple[str, str], warehouse.Warehouse] = {}
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TEXT_TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 SHORT_TRIP = 0.5  # the smallest distance above zero in the derived trips is 0.1
 
 
@@ -90,7 +91,7 @@ def scan_partitioned_period(spark, sf_dir):
 
 @query
 def optional_tables_as_views(spark, sf_dir):
-    names = [*TABLES, "no_such_table"]
+    names = [*TABLES, *TEXT_TABLES, "no_such_table"]
     found, missing = readers.read_available(spark, {n: f"{sf_dir}/{n}.parquet" for n in names})
     readers.register_views({f"v_{n}": df for n, df in found.items()})
     counts = [f"SELECT '{n}' AS table_name, true AS loaded, count(*) AS row_count FROM v_{n}" for n in found]
@@ -100,20 +101,35 @@ def optional_tables_as_views(spark, sf_dir):
 
 @query
 def landing_manifest(spark, sf_dir):
-    return landing.landing_manifest(spark, sf_dir, glob="*.parquet").drop("path")
+    """One text file per region; the data table itself names the bytes."""
+    path = workspace(spark, "regions")
+    table(spark, sf_dir, "region").select(
+        "r_name", F.col("r_regionkey").alias("key")
+    ).repartition("key").write.partitionBy("key").text(path)
+    found = landing.landing_manifest(spark, path, glob="*.txt")
+    key = F.regexp_extract("path", "key=([0-9]+)/", 1).cast("int")
+    return found.select(
+        key.alias("r_regionkey"), "size_bytes", "extension", "md5", "non_empty", "extension_ok"
+    )
 
 
 @query
 def landing_rows_per_file(spark, sf_dir):
-    frames = [landing.rows_per_file(table(spark, sf_dir, n)) for n in TABLES]
-    return star.union_all(frames).drop("path")
+    """Every table, and a file without rows."""
+    frames = [landing.rows_per_file(table(spark, sf_dir, n)) for n in [*TABLES, *TEXT_TABLES]]
+    nothing = workspace(spark, "nothing")
+    table(spark, sf_dir, "region").limit(0).coalesce(1).write.parquet(nothing)
+    empty = landing.rows_per_file(spark.read.parquet(nothing)).withColumn("file_name", F.lit("(no rows)"))
+    return star.union_all([*frames, empty]).drop("path")
 
 
 @query
 def landing_by_month(spark, sf_dir):
-    path = landing.land_by_month(
-        table(spark, sf_dir, "orders"), "o_orderdate", workspace(spark, "landing"), "orders"
-    )
+    """Landed in two calls, one of whole years each."""
+    orders, base = table(spark, sf_dir, "orders"), workspace(spark, "landing")
+    even = F.year("o_orderdate") % 2 == 0
+    for part in (even, ~even):
+        path = landing.land_by_month(orders.filter(part), "o_orderdate", base, "orders")
     return (
         readers.read_table(spark, path)
         .groupBy("year", "month")
@@ -641,13 +657,12 @@ def chart_payment_tips_sorted(spark, sf_dir):
 
 @query
 def profile_schema(spark, sf_dir):
-    return profile.schema_table(raw_trips(spark, sf_dir), nudge=NUDGE)
+    return profile.schema_table(raw_trips(spark, sf_dir), samples=0, nudge=NUDGE)
 
 
 @query
 def profile_schema_samples(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").drop("o_totalprice", "o_orderdate")
-    return profile.schema_table(orders, "o_orderkey", nudge=NUDGE)
+    return profile.schema_table(table(spark, sf_dir, "orders"), "o_orderkey", nudge=NUDGE)
 
 
 @query
@@ -683,7 +698,7 @@ def profile_duplicates(spark, sf_dir):
 
 @query
 def profile_issues(spark, sf_dir):
-    return profile.quality_issues(raw_trips(spark, sf_dir), nudge=NUDGE).drop("action")
+    return profile.quality_issues(raw_trips(spark, sf_dir), nudge=NUDGE)
 
 
 @query

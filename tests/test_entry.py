@@ -8,7 +8,7 @@ from checks.oracle import ORACLE
 from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"landing_manifest"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

@@ -55,6 +55,13 @@ def test_expressions_and_several_columns(make):
     assert values(out) == [(3.0, 1.0, 2.0)]
 
 
+def test_entry_named_like_another_column(make):
+    df = make([(float(v),) for v in (-4, 1, 2, 3, 5)], "fare double")
+    positive = F.when(F.col("fare") > 0, F.col("fare"))
+    out = quantiles(df, {"fare": (positive, 0.5), "q1": ("fare", 0.25)})
+    assert values(out) == [(2.5, 1.0)]
+
+
 def test_approximate_mode_and_unknown_mode(make):
     df = make([(float(i),) for i in range(1, 102)], "x double")
     assert values(quantiles(df, {"m": ("x", 0.5)}, "approx")) == [(51.0,)]

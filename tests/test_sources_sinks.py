@@ -29,10 +29,12 @@ def landed(tmp_path):
     return folder
 
 
-@pytest.mark.parametrize("limit", [0, 100, 1 << 20])
-def test_manifest_matches_direct_hashing(spark, landed, limit):
-    """The same digest comes from the built-in function and from streamed chunks."""
-    out = landing.landing_manifest(spark, str(landed), stream_above=limit)
+@pytest.mark.parametrize("opened_by_caller", [False, True])
+def test_manifest_matches_direct_hashing(spark, landed, opened_by_caller):
+    def local(path):
+        return open(path.removeprefix("file://"), "rb")
+
+    out = landing.landing_manifest(spark, str(landed), open_stream=local if opened_by_caller else None)
     got = {r["file_name"]: r for r in out.collect()}
     files = [p for p in landed.rglob("*") if p.is_file()]
     assert sorted(got) == sorted(p.name for p in files)
@@ -49,12 +51,18 @@ def test_manifest_matches_direct_hashing(spark, landed, limit):
 
 
 def test_task_function_needs_no_package_on_the_executors(tmp_path):
-    data = cloudpickle.dumps(landing._stream_digests())
+    data = cloudpickle.dumps(landing._stream_digests(landing._streams()))
     code = "import pickle, sys; pickle.loads(sys.stdin.buffer.read())"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     subprocess.run([sys.executable, "-c", code], input=data, cwd=tmp_path, env=env, check=True)
 
 
+def test_manifest_refuses_unknown_stores_before_reading(spark):
+    with pytest.raises(ValueError, match="open_stream"):
+        landing.landing_manifest(spark, "dbfs:/nowhere")
+    assert landing.SCHEMES["s3a"] == "s3"
+
+
 def test_manifest_without_checksum(spark, landed):
     out = landing.landing_manifest(spark, str(landed), checksum=False)
     sizes = {r["file_name"]: r["size_bytes"] for r in out.collect()}
@@ -68,6 +76,7 @@ def test_rows_per_text_file_without_header(spark, landed):
     out = landing.rows_per_file(lines, min_rows=2, header_lines=1)
     assert sorted(values(out, "file_name", "row_count", "enough_rows")) == [
         ("a.csv", 2, True),
+        ("empty.csv", 0, False),
         ("with space+%41.csv", 0, False),
     ]
 
@@ -80,6 +89,31 @@ def test_rows_per_parquet_file_reads_no_column(spark, make, tmp_path):
     assert "ReadSchema: struct<>" in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_parquet_file_without_rows_counts_zero(spark, make, tmp_path):
+    make([(i,) for i in range(5)], "a int").coalesce(1).write.parquet(str(tmp_path / "t"))
+    make([], "a int").coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+    out = landing.rows_per_file(spark.read.parquet(str(tmp_path / "t")), min_rows=5)
+    assert sorted(values(out, "row_count", "enough_rows")) == [(0, False), (5, True)]
+
+
+def test_existing_folder_without_table_is_raised(spark, make, tmp_path):
+    good = sinks.write_table(make([(1,)], "a int"), str(tmp_path / "good"))
+    (tmp_path / "bare").mkdir()
+    with pytest.raises(AnalysisException):
+        readers.read_first_available(spark, [str(tmp_path / "bare"), good])
+    with pytest.raises(AnalysisException):
+        readers.read_available(spark, {"bare": str(tmp_path / "bare")})
+
+
+def test_landing_keeps_other_months(spark, make, tmp_path):
+    dated = lambda *days: make([(d,) for d in days], "d string").select(F.to_timestamp("d").alias("t"))
+    for days in (["2023-01-05", "2023-01-06"], ["2023-02-01"], ["2023-01-09"]):
+        path = landing.land_by_month(dated(*days), "t", str(tmp_path), "trips")
+    assert sorted(values(readers.read_table(spark, path).selectExpr("CAST(t AS DATE) || ''"))) == [
+        ("2023-01-09",), ("2023-02-01",)
+    ]
+
+
 def test_fallback_moves_on_only_for_missing_paths(spark, make, tmp_path):
     good = sinks.write_table(make([(1, "x")], "a int, b string"), str(tmp_path / "good"))
     df = readers.read_first_available(spark, [str(tmp_path / "none"), good])

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 
 def col(c: Column | str) -> Column:
-    """Accept a column or its name."""
-    return F.col(c) if isinstance(c, str) else c
+    """Accept a column or its name, which may hold dots; ``a.b`` of a struct is a column."""
+    return F.col("`" + c.replace("`", "``") + "`") if isinstance(c, str) else c
 
 
 def rounded(c: Column | str, digits: int = 2, nudge: float = 0.0) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmart.functions.aggregates import count_where, row_count
-from tripmart.functions.scalars import rounded
+from tripmart.functions.scalars import col, rounded
 from tripmart.operators.quantiles import (
     interpolated,
     quantiles,
@@ -50,7 +50,7 @@ def column_nulls(df: DataFrame) -> DataFrame:
                 F.lit(i).alias("position"),
                 F.lit(c).alias("column_name"),
                 row_count().alias("row_count"),
-                (row_count() - F.count(F.col(c))).alias("null_count"),
+                (row_count() - F.count(col(c))).alias("null_count"),
             )
             for i, c in enumerate(df.columns, start=1)
         ]
@@ -59,33 +59,39 @@ def column_nulls(df: DataFrame) -> DataFrame:
 
 
 def column_samples(
-    df: DataFrame, order_by: str, n: int = SAMPLE_VALUES, width: int = SAMPLE_WIDTH
+    df: DataFrame, order_by: str | None = None, n: int = SAMPLE_VALUES, width: int = SAMPLE_WIDTH
 ) -> DataFrame:
-    """``column_name, samples``: the first ``n`` non-null values of each column by ``order_by``.
+    """``column_name, samples``: the first ``n`` non-null values of each column by ``order_by``
+    and, where that is equal or not given, by their text.
 
-    Every column is a top-``n`` of its own, so a task keeps ``n`` rows and reads two columns.
+    One pass for all columns: each row becomes one row per column, of which a task keeps ``n``
+    per column before anything is shuffled.
     """
-
-    def first_values(c: str) -> DataFrame:
-        value = F.col(c).cast("string").alias("value")
-        first = (
-            df.filter(F.col(c).isNotNull())
-            .select(F.col(order_by).alias("place"), value)
-            .orderBy("place")
-            .limit(n)
-        )
-        listed = F.array_sort(F.collect_list(F.struct("place", "value")))["value"]
-        return first.agg(F.substring(F.concat_ws(", ", listed), 1, width).alias("samples")).select(
-            F.lit(c).alias("column_name"), "samples"
-        )
-
-    return reduce(DataFrame.union, [first_values(c) for c in df.columns])
+    place = col(order_by) if order_by else F.lit(0)
+    values = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), place.alias("place"), col(c).cast("string").alias("value"))
+            for c in df.columns
+        ]
+    )
+    # Nulls come last and are no samples; a column of nulls only has an empty list.
+    first = Window.partitionBy("column_name").orderBy(F.col("value").isNull(), "place", "value")
+    kept = (
+        df.select(F.inline(values))
+        .withColumn("n", F.row_number().over(first))
+        .filter(F.col("n") <= n)
+    )
+    listed = F.array_sort(F.collect_list(F.struct("n", "value")))["value"]
+    return kept.groupBy("column_name").agg(
+        F.substring(F.concat_ws(", ", listed), 1, width).alias("samples")
+    )
 
 
 def schema_table(
     df: DataFrame, order_by: str | None = None, samples: int = SAMPLE_VALUES, nudge: float = 0.0
 ) -> DataFrame:
-    """Column, type, non-null count, null percentage and, given an order, sample values."""
+    """Column, type, non-null count, null percentage and sample values: the first ones by
+    ``order_by``, or else the smallest as text. ``samples=0`` leaves them out."""
     types = F.create_map(
         *[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())]
     )
@@ -96,7 +102,7 @@ def schema_table(
         (F.col("row_count") - F.col("null_count")).alias("non_null"),
         _percent(F.col("null_count"), F.col("row_count"), 1, nudge).alias("null_pct"),
     )
-    if order_by:
+    if samples:
         base = base.join(column_samples(df, order_by, samples), "column_name", "left")
     return base.orderBy("position")
 

@@ -174,10 +174,13 @@ def quantiles(
         )
     if method != "exact":
         raise ValueError(f"unknown quantile method: {method}")
+    # Series are keyed by position, so that no name of an entry meets one of a column; entries
+    # on one named column share a series.
     series: dict[str, Column | str] = {}
     names: dict[str, tuple[str, float]] = {}
-    for name, (c, p) in wanted.items():
-        key = c if isinstance(c, str) else name
+    keys: dict[str, str] = {}
+    for i, (name, (c, p)) in enumerate(wanted.items()):
+        key = keys.setdefault(c, f"s{i}") if isinstance(c, str) else f"s{i}"
         series[key] = c
         names[name] = (key, p)
     return quantiles_from_counts(value_counts(df, series), names)

@@ -123,28 +123,16 @@ def repair_by_share(
 ) -> DataFrame:
     """Replace negative values by the median of the positive values in the same share of ``by``.
 
-    The shares are ranges between quantile edges, not a ranking of all trips: trips meet the
-    ``parts`` ranges in a broadcast range join, and the medians of the shares in another join.
-    Trips without a value in ``by`` form share 0.
+    The shares are ranges between quantile edges, not a ranking of all trips: a trip's share
+    is the number of edges below its value, counted in an array that one row carries. Trips
+    without a value in ``by`` form share 0.
     """
     edges, names = quantile_edges(trips, by, parts, method)
-    inner = [F.col(n) for n in names]
-    lows, highs = [F.lit(float("-inf")), *inner], [*inner, F.lit(float("inf"))]
-    ranges = edges.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("share"), low.alias("above"), high.alias("upto"))
-                    for i, (low, high) in enumerate(zip(lows, highs), start=1)
-                ]
-            )
-        )
-    )
-    inside = (F.col(by) > F.col("above")) & (F.col(by) <= F.col("upto"))
+    below = F.filter(F.col("share_edges"), lambda edge: edge < F.col(by))
     placed = (
-        trips.join(F.broadcast(ranges), inside, "left")
-        .withColumn("share", F.coalesce("share", F.lit(0)))
-        .drop("above", "upto")
+        trips.join(F.broadcast(edges.select(F.array(*names).alias("share_edges"))))  # exactly one row
+        .withColumn("share", F.when(F.col(by).isNull(), F.lit(0)).otherwise(F.size(below) + 1))
+        .drop("share_edges")
     )
     positive = F.when(F.col(column) > 0, F.col(column))
     medians = grouped_quantile(placed, "share", positive, 0.5, "share_median", groups=parts + 1)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import BinaryIO
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.aggregates import row_count
@@ -15,83 +16,101 @@ from tripmart.sources.sinks import write_table
 ALLOWED_EXTENSIONS = (".parquet", ".csv", ".json", ".gz")
 MIN_ROWS = 500_000
 
-# Files above this size are hashed as a stream of chunks instead of as one binary value.
-STREAM_ABOVE_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
+# Spellings of URI schemes that the file system library has under another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+READABLE = ("file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss")
 
+OpenStream = Callable[[str], BinaryIO]
 
-def _uri(path: str) -> str:
-    """Spark's ``file:/x`` as ``file:///x``; other paths as they are."""
-    rest = path.removeprefix("file:")
-    return f"file://{rest}" if rest != path and not rest.startswith("//") else path
 
-
-def _stream_digests(chunk_bytes: int = CHUNK_BYTES):
-    """A task function that reads files in chunks and adds their MD5.
+def _streams() -> OpenStream:
+    """Opens a file of a store for reading, by its URI.
 
     It carries all it needs, so the executors need no copy of this package.
     """
+    schemes = dict(SCHEMES)
 
-    def digest(path: str) -> str:
-        import hashlib
-
+    def open_stream(path: str):
         from pyarrow import fs
 
         if path.startswith("file:"):
-            local = path.removeprefix("file:")
-            filesystem, inner = fs.LocalFileSystem(), local.removeprefix("//")
+            filesystem, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
         else:
-            filesystem, inner = fs.FileSystem.from_uri(path)
-        md5 = hashlib.md5()
-        with filesystem.open_input_stream(inner, compression=None) as stream:
-            while chunk := stream.read(chunk_bytes):
-                md5.update(chunk)
-        return md5.hexdigest()
+            scheme, _, rest = path.partition(":")
+            filesystem, inner = fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{rest}")
+        return filesystem.open_input_stream(inner, compression=None)
+
+    return open_stream
+
+
+def _stream_digests(open_stream: OpenStream, chunk_bytes: int = CHUNK_BYTES):
+    """A task function that reads files in chunks and adds their MD5."""
 
     def add_digests(batches):
+        import hashlib
+
         for batch in batches:
-            yield batch.assign(md5=[digest(p) for p in batch["path"]])
+            found = []
+            for path in batch["path"]:
+                md5 = hashlib.md5()
+                with open_stream(path) as stream:
+                    while chunk := stream.read(chunk_bytes):
+                        md5.update(chunk)
+                found.append(md5.hexdigest())
+            yield batch.assign(md5=found)
 
     return add_digests
 
 
+def _listed(df: DataFrame) -> DataFrame:
+    """``path``: every file that a scan was planned from, as ``file:///x`` or another full URI.
+
+    Scans pass over files without bytes or rows, so these are only found among the names that
+    planning has listed on the driver anyway. No row of data is among them.
+    """
+    names = [(unquote(p),) for p in df.inputFiles()]
+    paths = df.sparkSession.createDataFrame(names, "path string")
+    return paths.select(_full_uri(F.col("path")).alias("path"))
+
+
+def _full_uri(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/(?!/)", "file:///")
+
+
 def landing_manifest(
     spark: SparkSession,
     path: str | Sequence[str],
     allowed: Sequence[str] = ALLOWED_EXTENSIONS,
     glob: str | None = None,
-    stream_above: int = STREAM_ABOVE_BYTES,
     checksum: bool = True,
+    open_stream: OpenStream | None = None,
 ) -> DataFrame:
     """One row per file: size, extension, MD5, and whether it is accepted.
 
-    Files are spread over the cluster. Small files are hashed by the built-in ``md5``; the
-    size filter is pushed to the source, so a large file is never loaded as one value but
-    read in chunks by the task it was assigned to. Scans pass over empty files, so these are
-    added from the list of file names that the scan is planned from. Without ``checksum`` no
-    file is opened and ``md5`` is null.
+    Files are spread over the cluster and, whatever their size, each is read in chunks by one
+    task. ``open_stream`` opens a file by its URI; by default the usual stores are opened with
+    the credentials of the executors' environment. A path in a store that this cannot read is
+    refused before any file is read. Without ``checksum`` no file is opened and ``md5`` is null.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
+    roots = [path] if isinstance(path, str) else list(path)
+    if checksum and open_stream is None:
+        for root in roots:
+            scheme = root.partition(":")[0] if ":" in root.split("/")[0] else "file"
+            if SCHEMES.get(scheme, scheme) not in READABLE:
+                raise ValueError(f"no reader for {root}: pass open_stream, or checksum=False")
+        open_stream = _streams()
+    files = reader.load(roots)
+    sized = files.select(_full_uri(F.col("path")).alias("path"), "length")
     if checksum:
-        small = files.filter(F.col("length") <= stream_above).select(
-            "path", "length", F.md5("content").alias("md5")
-        )
-        large = (
-            files.filter(F.col("length") > stream_above)
-            .select("path", "length")
-            .mapInPandas(_stream_digests(), "path string, length long, md5 string")
-        )
-        found = small.unionByName(large)
+        sized = sized.mapInPandas(_stream_digests(open_stream), "path string, length long, md5 string")
     else:
-        found = files.select("path", "length", F.lit(None).cast("string").alias("md5"))
-    listed = [(_uri(unquote(p)),) for p in files.inputFiles()]
-    sized = found.withColumn("path", F.regexp_replace("path", "^file:/(?!/)", "file:///"))
+        sized = sized.withColumn("md5", F.lit(None).cast("string"))
     of_nothing = F.when(F.col("length").isNull() & F.lit(checksum), F.md5(F.lit("")))
-    names = spark.createDataFrame(listed, "path string")
-    all_files = names.join(sized, "path", "left").select(
+    all_files = _listed(files).join(sized, "path", "left").select(
         "path",
         F.coalesce("length", F.lit(0)).alias("length"),
         F.coalesce("md5", of_nothing).alias("md5"),
@@ -115,17 +134,17 @@ def rows_per_file(
     """Rows in each source file and whether they reach the minimum.
 
     On Parquet no column is read. For text files pass ``spark.read.text(...)`` and the number
-    of header lines. Files without any row do not appear; the manifest lists those.
+    of header lines. Files without any row count 0.
     """
     # The path arrives URL-encoded, with a plus sign standing for itself.
     path = F.url_decode(F.replace(F.col("encoded"), F.lit("+"), F.lit("%2B")))
     counted = (
         df.groupBy(F.col("_metadata.file_path").alias("encoded"))
         .agg(row_count().alias("n"))
-        .select(path.alias("path"), "n")
+        .select(_full_uri(path).alias("path"), "n")
     )
-    rows = F.col("n") - F.lit(header_lines)
-    return counted.select(
+    rows = F.greatest(F.coalesce("n", F.lit(0)) - F.lit(header_lines), F.lit(0))
+    return _listed(df).join(counted, "path", "left").select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         rows.alias("row_count"),
@@ -136,8 +155,9 @@ def rows_per_file(
 def land_by_month(df: DataFrame, ts: str, base: str, dataset: str) -> str:
     """Write under ``<base>/<dataset>/year=Y/month=M/`` and return the dataset path.
 
+    Months that the rows belong to are replaced; other months of the dataset stay.
     Small months are gathered into few files; a month that holds a large part of the data is
     split over several tasks.
     """
     dated = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
-    return write_table(dated, f"{base.rstrip('/')}/{dataset}", ["year", "month"])
+    return write_table(dated, f"{base.rstrip('/')}/{dataset}", ["year", "month"], replace="partitions")

@@ -23,14 +23,22 @@ def read_table(
     return df.filter(where) if where else df
 
 
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None if the path does not exist. Any other failure is raised, such as a
+    folder that exists and holds no table."""
+    try:
+        return read_table(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_first_available(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Scan the first path that exists. Only "cannot be resolved" moves on to the next one;
-    any other failure is raised."""
+    """Scan the first path that exists."""
     for path in paths[:-1]:
-        try:
-            return read_table(spark, path)
-        except AnalysisException:
-            continue
+        if (found := _read_if_there(spark, path)) is not None:
+            return found
     return read_table(spark, paths[-1])
 
 
@@ -41,10 +49,11 @@ def read_available(
     found: dict[str, DataFrame] = {}
     missing: list[str] = []
     for name, path in paths.items():
-        try:
-            found[name] = read_table(spark, path)
-        except AnalysisException:
+        table = _read_if_there(spark, path)
+        if table is None:
             missing.append(name)
+        else:
+            found[name] = table
     return found, missing
 
 

@@ -23,9 +23,13 @@ def write_table(
     compression: str = "snappy",
     gather: bool = True,
     sort_within: Sequence[str] = (),
+    replace: str = "table",
 ) -> str:
     """Overwrite a Parquet table, partitioned when asked.
 
+    ``replace="partitions"`` replaces only the partitions that the rows belong to and leaves
+    the others of the table alone.
+
     ``gather=False`` is for rows that have been brought together already. ``sort_within``
     orders the rows of each task, so that a filter on these columns can pass over the row
     groups of a file by their minimum and maximum; no shuffle is added.
@@ -35,7 +39,10 @@ def write_table(
     if sort_within:
         # Led by the partition columns, this is also the order the writer needs.
         df = df.sortWithinPartitions(*partition_by, *sort_within)
+    if replace not in ("table", "partitions"):
+        raise ValueError(f"unknown extent of replacement: {replace}")
     writer = df.write.mode("overwrite").option("compression", compression)
+    writer = writer.option("partitionOverwriteMode", "static" if replace == "table" else "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
