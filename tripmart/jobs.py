@@ -15,7 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators import profile
-from tripmart.operators.validation import reconcile, require_rows, validate_tables
+from tripmart.operators.star import union_all
+from tripmart.operators.validation import (
+    KEY_COLUMNS,
+    key_nulls,
+    reconcile,
+    require_rows,
+    validate_tables,
+)
 from tripmart.plans import charts, reports
 from tripmart.plans.trip_rules import DISTRIBUTION_COLUMNS, CleaningRules
 from tripmart.plans.warehouse import DIMENSIONS, FACT, Warehouse, build_warehouse
@@ -75,7 +82,12 @@ def build(
     tables = {name: built.table(spark, name) for name in built.paths}
     summary = validate_tables(tables, paths=built.paths)
     require_rows(summary)
-    return {"tables": summary, "reconciliation": reconcile(raw, tables[FACT])}
+    nulls = [key_nulls(tables[n], n, keys) for n, keys in KEY_COLUMNS.items() if n in tables]
+    return {
+        "tables": summary,
+        "key_nulls": union_all(nulls),
+        "reconciliation": reconcile(raw, tables[FACT]),
+    }
 
 
 def report_tables(fact: DataFrame) -> dict[str, DataFrame]:
@@ -89,6 +101,9 @@ def report_tables(fact: DataFrame) -> dict[str, DataFrame]:
         "chart_anomaly_volume": charts.anomaly_volume(fact),
         "chart_fare_trend_line": charts.fare_trend_line(fact),
         "chart_vendor_grid": charts.vendor_grid(fact),
+        "chart_payment_tips": charts.display_sorted(
+            reports.payment_tips(fact), "avg_tip_pct", "payment_label"
+        ),
     }
 
 
