@@ -110,9 +110,22 @@ class Vocabulary:
 
     @classmethod
     def of(cls, counted: DataFrame, classes: int, known: int) -> "Vocabulary":
-        top = counted.orderBy(F.desc("n"), "word").limit(known).toPandas()
+        """The words of the highest bands of counts, as many bands as hold ``known`` words at most.
+        A band is a sixteenth of a doubling, so there are 1,024 at most; a threshold instead of a
+        top-k keeps each task from sending ``known`` rows of its own to the driver."""
+        band = F.floor(F.log2(F.col("n").cast("double")) * 16)
+        sizes = counted.groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("m")).collect()
+        lowest, held = float("inf"), 0
+        for r in sorted(sizes, key=lambda r: -r.band):
+            held += r.m
+            if held > known:
+                break
+            lowest = r.band
+        top = counted.filter(band >= F.lit(lowest)).toPandas()
         words, counts = top.word.to_numpy(np.int64), top.n.to_numpy(np.int64)
-        rank = np.minimum(np.arange(len(words)), classes)
+        order = np.lexsort([words, -counts])
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.minimum(np.arange(len(words)), classes)
         order = np.argsort(words)
         return cls(words[order], counts[order], rank[order], classes)
 
