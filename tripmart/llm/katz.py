@@ -1,4 +1,5 @@
-"""Katz backoff scores of texts.
+"""Katz backoff scores of texts: over all word n-grams (``katz_scores``, in ``ngrams.py``), and the
+smaller model over word classes (``fit`` and ``score``), which the rest of this text is about.
 
 Tokens are words and one end per text. Words fall into classes: each of the ``classes`` most
 frequent ones is a class of its own, all others, unseen ones included, form one. The model is
@@ -345,10 +346,11 @@ def katz_scores(
     train: DataFrame,
     text_col: str = "text",
     keep: tuple[str, ...] = ("doc_id",),
-    classes: int = CLASSES,
-    known: int = KNOWN,
+    order: int = 2,
 ) -> DataFrame:
-    """Scores of ``docs`` under the model of ``train``."""
-    counted = stored(docs.sparkSession, unigrams(train, text_col), "katz-unigrams")
-    model = fit(counted, train.select(text_col), classes, known)
-    return score(docs, counted, model, text_col, keep)
+    """Scores of ``docs`` under all word n-grams of ``train`` (``ngrams.py``)."""
+    from tripmart.llm import ngrams
+
+    counted = stored(docs.sparkSession, ngrams.count_ngrams(train, order, text_col), "katz-ngrams")
+    table, totals = ngrams.fit(counted, order)
+    return ngrams.score(docs, table, totals, order, text_col, keep)
