@@ -12,7 +12,7 @@ counts documents per language and n-gram cell in Spark; the table that reaches t
 ``2 ** cell_bits`` cells at most, whatever the input.
 
 Training uses at most ``sample_per_language`` documents of each language, those with the smallest
-hash of text; this bound is a parameter. Rows without language or letters are not used. Null
+hash of text, copies counted once; this bound is a parameter. Rows without language or letters are not used. Null
 texts and texts without any letter get ``und`` and score 0. With no training rows all texts
 with letters get ``und`` too. Repeated rows each get a row. Only the named columns are read.
 """
@@ -119,8 +119,9 @@ def fit(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
     first = Window.partitionBy("lang").orderBy("order")
-    # A top-k per language, which Spark cuts in the map tasks: k hashes per task and language.
-    edge = rows.select("lang", F.xxhash64("text").alias("order"))
+    # Copies are one text, or a large group of them would fill the sample: they are combined first.
+    edge = rows.select("lang", F.xxhash64("text").alias("order")).distinct()
+    # A top-k per language, which Spark cuts before the shuffle: k hashes per task and language.
     edge = edge.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_per_language)
     limits = edge.groupBy("lang").agg(F.max("order").alias("limit")).limit(64).collect()
     languages = sorted(r.lang for r in limits)
