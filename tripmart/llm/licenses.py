@@ -1,8 +1,9 @@
 """License labels of documents: phrases, and text blocks that contain a license template.
 
 Phrases are counted at every place where their words stand one after another. The set
-similarity join finds, for every block (line) of a text, the templates of which it holds at least
-``threshold`` of the distinct words:
+similarity join finds, for every block of a text, the templates of which it holds at least
+``threshold`` of the distinct words. Blocks are the lines, and for each template all runs of as many
+words as it has, across line ends, so that wrapped notices are found:
 
 * Words are ordered by how many documents hold them, rarest first. Only the templates' words
   need a count, so the order is a table of the size of the templates, counted over all texts.
@@ -11,6 +12,8 @@ similarity join finds, for every block (line) of a text, the templates of which
 * A block of fewer than ``k`` distinct words is dropped (length filter). If its first prefix word
   is at place ``i`` of the template, ``n - i`` words can still match; fewer than ``k`` drop it
   (positional filter). What is left is compared word by word.
+* Runs are looked at only for templates of which the whole text holds ``k`` words. A run that holds the
+  most can be taken to begin at one of them, so only the places of the template's words are gone through.
 
 Null and empty texts have no words and no labels. Ties of rarity are ordered by word. Repeated rows
 each get a row. An empty table yields no rows. Only the named columns are read.
@@ -90,9 +93,12 @@ class TemplateIndex:
 
     def __init__(self, templates: Mapping[str, str], counts: Mapping[str, int], threshold: float):
         self.entries: dict[str, list[tuple]] = {}
+        self.templates: list[tuple[frozenset[str], frozenset[str], int, int, str]] = []
         for template, label in sorted(templates.items()):
             words = sorted(set(template.split()), key=lambda w: (counts.get(w, 0), w))
             k = needed(len(words), threshold)
+            prefix = frozenset(words[: len(words) - k + 1])
+            self.templates.append((frozenset(words), prefix, k, len(template.split()), label))
             for i, word in enumerate(words[: len(words) - k + 1]):
                 self.entries.setdefault(word, []).append((i, words, k, label))
         self.prefix = set(self.entries)
@@ -113,6 +119,29 @@ class TemplateIndex:
         return out
 
 
+    def runs(self, words: list[str]) -> dict[tuple[int, str], float]:
+        """Containment of the runs of words that contain a template, by first place and label."""
+        text, out = set(words), {}
+        for of, prefix, k, length, label in self.templates:
+            if prefix.isdisjoint(text) or len(of & text) < k:
+                continue
+            places = [p for p, w in enumerate(words) if w in of]
+            held: dict[str, int] = {}
+            end = 0
+            for begin in places:
+                while end < len(places) and places[end] < begin + length:
+                    w = words[places[end]]
+                    held[w] = held.get(w, 0) + 1
+                    end += 1
+                if len(held) >= k:
+                    out[begin, label] = max(out.get((begin, label), 0.0), len(held) / len(of))
+                w = words[begin]
+                held[w] -= 1
+                if not held[w]:
+                    del held[w]
+        return out
+
+
 def license_labels(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -123,7 +152,8 @@ def license_labels(
 ) -> DataFrame:
     """``<id>, n_words, n_base, first_word, last_word, base_labels, labels, score, blocks``.
 
-    ``blocks`` lists the lines that contain a template: number of the line, label, containment.
+    ``blocks`` lists the lines that contain a template: number of the line, label, containment; after
+    them, by the line where they begin, the runs of words that contain more than any line does.
     ``score`` is 1 with a phrase, else the highest containment found.
     """
     vocabulary = {w for t in templates for w in t.split()}
@@ -147,6 +177,16 @@ def license_labels(
             for line, block in enumerate(flat.split("\n")):
                 for label, share in sorted(index.matches(set(block.split())).items()):
                     blocks.append({"line": line, "label": label, "share": share})
+            best: dict[str, float] = {}
+            for b in blocks:
+                best[b["label"]] = max(best.get(b["label"], 0.0), b["share"])
+            runs = {at: share for at, share in index.runs(words).items() if share > best.get(at[1], 0.0)}
+            if runs:
+                line_of = [line for line, block in enumerate(flat.split("\n")) for _ in block.split()]
+                found: dict[tuple[int, str], float] = {}
+                for (at, label), share in runs.items():
+                    found[line_of[at], label] = max(found.get((line_of[at], label), 0.0), share)
+                blocks += [{"line": line, "label": label, "share": x} for (line, label), x in sorted(found.items())]
         every = labels | {b["label"] for b in blocks}
         score = 1.0 if labels else max((b["share"] for b in blocks), default=0.0)
         return (
