@@ -5,7 +5,9 @@ keeps the code points and tokens of every subtree. An edit finds the leaves it t
 points of subtrees, encodes these leaves with the edit in place, and updates the sums on their
 paths to the root. Leaves begin at a space before a visible character, where a pre-token begins
 whatever stands before. An edit within two characters of such a border may remove it, so the leaf on
-the other side is encoded again too (boundary context). All other counts stand.
+the other side is encoded again too (boundary context). All other counts stand. No leaf begins at a
+space before an added token, since white space before one is encoded together; as an edit may make
+such a token, the context is longer than any of them.
 
 Edits of a document are structs ``start, length, text`` in code points of the text before any
 edit. They are applied in order of ``start``; one that starts inside the one before begins where
@@ -17,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Collection
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,8 +33,10 @@ BORDER = re.compile(" (?=[!-~À-ɏ])")
 CONTEXT = 2
 
 
-def pieces(text: str) -> list[str]:
+def pieces(text: str, added: Collection[str] = ()) -> list[str]:
     """The text up to its first border, then what follows each border's space."""
+    if any(t in text for t in added):
+        return re.split(BORDER.pattern + "".join(f"(?!{re.escape(t)})" for t in added), text)
     return BORDER.split(text) if ODD_SPACE.search(text) else text.split(" ")
 
 
@@ -84,7 +89,9 @@ def grow(text: str, counts: list[int], parts: list[str], leaf_words: int) -> Cou
     return CountTree(chars, tokens)
 
 
-def apply_edits(text: str, tree: CountTree, edits: list[tuple[int, int, str]], count) -> tuple[str, int]:
+def apply_edits(
+    text: str, tree: CountTree, edits: list[tuple[int, int, str]], count, context: int = CONTEXT
+) -> tuple[str, int]:
     """The edited text and how many code points were encoded again. ``count`` gives the tokens
     of a text on its own."""
     done, encoded, shift = text, 0, 0
@@ -95,8 +102,8 @@ def apply_edits(text: str, tree: CountTree, edits: list[tuple[int, int, str]], c
         at = b
         a, b = a + shift, b + shift
         shift += len(new) - (b - a)
-        first, begin = tree.find(max(a - CONTEXT, 0))
-        last, end = tree.find(b + CONTEXT)
+        first, begin = tree.find(max(a - context, 0))
+        last, end = tree.find(b + context)
         end += tree.chars[last + tree.width]
         region = done[begin:a] + new + done[b:end]
         done = done[:a] + new + done[b:]
@@ -125,8 +132,9 @@ def edited_counts(
     def run(batches):
         encoder = WordEncoder.of(tokenizer_path)
         count = lambda t: len(encoder.whole(t)) // 4
+        context = max(CONTEXT, *(len(t) + 1 for t in encoder.added), 0)
         for part, texts in slices(batches, "text"):
-            cut = [pieces(t) for t in texts]
+            cut = [pieces(t, encoder.added) for t in texts]
             encoder.learn({w for p in cut for w in p[1:]})
             cache = encoder.cache
             out = [[] for _ in range(7)]
@@ -135,7 +143,7 @@ def edited_counts(
                 tree = grow(text, counts, parts, leaf_words)
                 before = tree.total
                 wanted = [(e["start"] or 0, e["length"] or 0, e["text"] or "") for e in edits or [] if e]
-                done, encoded = apply_edits(text, tree, wanted, count)
+                done, encoded = apply_edits(text, tree, wanted, count, context)
                 leaves = slice(tree.width, tree.width + -(-len(parts) // leaf_words))
                 digest = hashlib.sha256(done.encode()).hexdigest()
                 for c, v in zip(out, (len(text), before, tree.total, encoded, digest, tree.chars[leaves], tree.tokens[leaves])):

@@ -6,6 +6,10 @@ so a text is cut at its spaces and only words that the task has not met yet are
 a batch in one call. The table of words is a cache of bounded size; dropping it costs time only.
 Texts with other white space next to a space are encoded as they are.
 
+Added tokens of the file (``<|endoftext|>``) are cut out of texts first, as ``tokenizers`` does, and
+what stands between them is encoded on its own. With ``encode_special_tokens``, which has the name and
+the meaning it has there, their characters are ordinary text.
+
 The vocabulary file is that of ``tokenizers``; its ids are computed through the same vocabulary
 in ``tiktoken``'s form, which is several times faster (``tests/llm`` hold both equal).
 """
@@ -22,6 +26,18 @@ CACHE_WORDS = 1_000_000
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
+def added_tokens(tokenizer_path: str) -> dict[str, int]:
+    """Text and id of the added tokens of a vocabulary."""
+    import json
+
+    with open(tokenizer_path, encoding="utf-8") as f:
+        found = json.load(f).get("added_tokens") or []
+    for t in found:
+        if t["lstrip"] or t["rstrip"] or t["single_word"] or not t["content"] or re.search(r"\s", t["content"]):
+            raise ValueError(f"added token with white space, stripping or word borders: {t['content']!r}")
+    return {t["content"]: t["id"] for t in found}
+
+
 def json_ranks(tokenizer_path: str) -> dict[bytes, int]:
     """Byte strings and ids of a byte-level BPE vocabulary; each byte is written as one
     printable character, those that are not printable as the characters from 256 on."""
@@ -32,17 +48,18 @@ def json_ranks(tokenizer_path: str) -> dict[bytes, int]:
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     other = [b for b in range(256) if b not in set(plain)]
     to_byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
+    added = set(added_tokens(tokenizer_path))
     return {
         bytes(to_byte[c] for c in token): i
         for token, i in vocab.items()
-        if all(c in to_byte for c in token) and not token.startswith("<|")
+        if all(c in to_byte for c in token) and token not in added
     }
 
 
 class WordEncoder:
     """Ids of texts as little-endian 32-bit words."""
 
-    def __init__(self, tokenizer_path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, tokenizer_path: str, cache_words: int = CACHE_WORDS, encode_special_tokens: bool = True):
         import public_tokenizers
         import tiktoken
 
@@ -53,17 +70,27 @@ class WordEncoder:
         self.width = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.width[i] = len(token)
+        added = {} if encode_special_tokens else added_tokens(tokenizer_path)
+        self.added = {t: int(i).to_bytes(4, "little") for t, i in added.items()}
+        # The longest of those that begin at a place.
+        longest = sorted(self.added, key=lambda t: (-len(t), t))
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.cache: dict[str, bytes] = {}
         self.cache_words = cache_words
 
     @classmethod
     def of(cls, tokenizer_path: str) -> "WordEncoder":
-        """One encoder for each worker process, kept from task to task."""
+        """One encoder for each worker process, kept from task to task; it knows the added tokens."""
         if tokenizer_path not in _ENCODERS:
-            _ENCODERS[tokenizer_path] = cls(tokenizer_path)
+            _ENCODERS[tokenizer_path] = cls(tokenizer_path, encode_special_tokens=False)
         return _ENCODERS[tokenizer_path]
 
+    def has_added(self, text: str) -> bool:
+        return any(t in text for t in self.added)
+
     def whole(self, text: str) -> bytes:
+        if self.has_added(text):
+            return b"".join(self.added.get(p) or self.whole(p) for p in self.cuts.split(text) if p)
         return np.array(self.encoding.encode_ordinary(text), "<u4").tobytes()
 
     def learn(self, words: set[str]) -> None:
@@ -71,6 +98,10 @@ class WordEncoder:
         if len(self.cache) > self.cache_words:
             self.cache.clear()
         new = list(words.difference(self.cache))
+        if self.added:
+            for word in filter(self.has_added, new):
+                self.cache[word] = self.whole(" " + word)
+            new = [w for w in new if w not in self.cache]
         if not new:
             return
         ids = np.array(self.encoding.encode_ordinary(" " + " ".join(new)), "<u4")
@@ -82,7 +113,7 @@ class WordEncoder:
             at = cut
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        cut = [None if ODD_SPACE.search(t) else t.split(" ") for t in texts]
+        cut = [None if ODD_SPACE.search(t) or self.has_added(t) else t.split(" ") for t in texts]
         words: set[str] = set()
         for parts in cut:
             if parts:
