@@ -18,3 +18,17 @@ def test_copies_do_not_fill_the_sample(spark):
     want, got = (language.fit(x, sample_per_language=30) for x in (df, copies))
     assert got.languages == want.languages == ("de", "en")
     assert np.array_equal(got.table, want.table) and got.false_share.min() > 0
+
+
+def test_more_languages_than_bits_of_a_word(spark):
+    rng = random.Random(7)
+    rows = []
+    for i in range(70):
+        letters = [chr(0x4E00 + 40 * i + k) for k in range(6)]
+        for _ in range(6):
+            rows.append((" ".join("".join(rng.choices(letters, k=4)) for _ in range(30)), f"l{i:02}"))
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = language.fit(df)
+    assert model.languages == tuple(f"l{i:02}" for i in range(70))
+    out = language.predict(df, model, keep=("lang",)).collect()
+    assert len(out) == len(rows) and all(r.lang_pred == r.lang for r in out)

@@ -2,14 +2,14 @@
 
 One Bloom filter per language, sliced by bits: cell ``i`` of the table holds a bit for every
 language, so the AND of the cells of an n-gram is the set of all languages that contain it, in
-two reads whatever the number of languages. A text's score for a language is the share of its
+two reads; a cell has one 64-bit word for each 64 languages. A text's score for a language is the share of its
 n-grams that the language contains, corrected for the filter's share of false positives; the
 highest corrected share decides.
 
 A language contains an n-gram when at least ``min_documents`` of its training documents do and
 its share of documents is at least ``min_ratio`` of the highest share of any language. Training
 counts documents per language and n-gram cell in Spark; the table that reaches the driver has
-``2 ** cell_bits`` cells at most, whatever the input.
+``2 ** cell_bits`` cells at most, of as many bits as there are languages.
 
 Training uses at most ``sample_per_language`` documents of each language, those with the smallest
 hash of text, copies counted once; this bound is a parameter. Rows without language or letters are not used. Null
@@ -84,7 +84,7 @@ def cells(h: np.ndarray, which: int, cell_bits: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class LanguageFilters:
-    """``table``: a bit mask of languages per cell; ``false_share``: per language, how often an
+    """``table``: a bit mask of languages per cell, in 64-bit words; ``false_share``: per language, how often an
     n-gram that it lacks passes its filter."""
 
     languages: tuple[str, ...]
@@ -98,7 +98,7 @@ class LanguageFilters:
         masks = self.table[cells(h, 0, self.cell_bits)] & self.table[cells(h, 1, self.cell_bits)]
         total = np.bincount(owner, minlength=len(texts))
         hits = np.stack([
-            np.bincount(owner, weights=(masks >> np.uint64(i)) & np.uint64(1), minlength=len(texts))
+            np.bincount(owner, weights=(masks[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1), minlength=len(texts))
             for i in range(len(self.languages))
         ], axis=1) if self.languages else np.zeros((len(texts), 0))
         share = hits / np.maximum(total, 1)[:, None]
@@ -114,7 +114,7 @@ def fit(
     min_documents: int = 2,
     min_ratio: float = 0.25,
 ) -> LanguageFilters:
-    """Filters from the rows of ``docs``, which are all training rows. At most 64 languages."""
+    """Filters from the rows of ``docs``, which are all training rows."""
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
     )
@@ -123,15 +123,16 @@ def fit(
     edge = rows.select("lang", F.xxhash64("text").alias("order")).distinct()
     # A top-k per language, which Spark cuts before the shuffle: k hashes per task and language.
     edge = edge.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_per_language)
-    limits = edge.groupBy("lang").agg(F.max("order").alias("limit")).limit(64).collect()
-    languages = sorted(r.lang for r in limits)
-    limit = {r.lang: r.limit for r in limits}
-    chosen = F.lit(False)
-    for lang in languages:
-        chosen |= (F.col("lang") == lang) & (F.xxhash64("text") <= limit[lang])
-    # Equal texts share a hash: one of each is enough.
-    sample = rows.filter(chosen).dropDuplicates(["lang", "text"])
+    # One row per language.
+    limits = {r.lang: r.limit for r in edge.groupBy("lang").agg(F.max("order").alias("limit")).collect()}
+    languages = sorted(limits)
     place = {lang: i for i, lang in enumerate(languages)}
+    spark = docs.sparkSession
+    kind = rows.schema["lang"].dataType.simpleString()
+    ends = spark.createDataFrame([(x, limits[x]) for x in languages], f"lang {kind}, limit long")
+    # Equal texts share a hash: one of each is enough.
+    sample = rows.join(F.broadcast(ends), "lang").filter(F.xxhash64("text") <= F.col("limit"))
+    sample = sample.select("lang", "text").dropDuplicates(["lang", "text"])
 
     def count(batches):
         totals: dict[int, np.ndarray] = {}
@@ -156,32 +157,29 @@ def fit(
 
     counted = sample.mapInArrow(count, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     sizes = {place[r.lang]: r.n for r in sample.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share, bit = F.lit(0.0), F.lit(0).cast("long")
-    for i, n in sizes.items():
-        share = F.when(F.col("lang") == i, F.col("n") / n).otherwise(share)
-        bit = F.when(F.col("lang") == i, F.lit(int(np.int64(np.uint64(1 << i).view(np.int64))))).otherwise(bit)
-    kept = counted.filter(F.col("n") >= min_documents).select("gram", share.alias("share"), bit.alias("bit"))
-    best = kept.groupBy("gram").agg(F.collect_list(F.struct("bit", "share")).alias("in"), F.max("share").alias("top"))
-    # The set of languages of an n-gram as bits, OR-ed into the two cells of the n-gram.
-    bits = F.aggregate(
-        F.filter("in", lambda x: x["share"] >= F.col("top") * min_ratio),
-        F.lit(0).cast("long"),
-        lambda a, x: a.bitwiseOR(x["bit"]),
-    )
+    docs_of = spark.createDataFrame(list(sizes.items()), "lang int, size long")
+    kept = counted.filter(F.col("n") >= min_documents).join(F.broadcast(docs_of), "lang")
+    kept = kept.select("gram", "lang", (F.col("n") / F.col("size")).alias("share"))
+    best = kept.groupBy("gram").agg(F.collect_list(F.struct("lang", "share")).alias("in"), F.max("share").alias("top"))
+    # The set of languages of an n-gram as bits by word, OR-ed into the two cells of the n-gram.
+    held = F.filter("in", lambda x: x["share"] >= F.col("top") * min_ratio)
+    best = best.select("gram", F.explode(held).alias("x")).groupBy("gram", F.expr("x.lang div 64").cast("int").alias("word"))
+    best = best.agg(F.bit_or(F.expr("shiftleft(1L, x.lang % 64)")).alias("bits"))
 
     def locate(batches):
         for batch in batches:
             h = batch.column(0).to_numpy().view(np.uint64)
             both = np.concatenate([cells(h, 0, cell_bits), cells(h, 1, cell_bits)]).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(both), pa.concat_arrays([batch.column(1), batch.column(1)])], ["cell", "bits"]
+                [pa.array(both), *(pa.concat_arrays([c, c]) for c in batch.columns[1:])], ["cell", "word", "bits"]
             )
 
-    placed = best.select("gram", bits.alias("bits")).mapInArrow(locate, "cell long, bits long")
-    found = placed.groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
-    table = np.zeros(1 << cell_bits, np.uint64)
-    table[found.column("cell").to_numpy()] = found.column("bits").to_numpy().astype(np.int64).view(np.uint64)
-    filled = np.array([np.mean((table >> np.uint64(i)) & np.uint64(1)) for i in range(len(languages))])
+    placed = best.mapInArrow(locate, "cell long, word int, bits long")
+    found = placed.groupBy("cell", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros((1 << cell_bits, max(1, -(-len(languages) // 64))), np.uint64)
+    at = found.column("cell").to_numpy(), found.column("word").to_numpy()
+    table[at] = found.column("bits").to_numpy().astype(np.int64).view(np.uint64)
+    filled = np.array([np.mean((table[:, i // 64] >> np.uint64(i % 64)) & np.uint64(1)) for i in range(len(languages))])
     return LanguageFilters(tuple(languages), table, filled**2, cell_bits)
 
 
