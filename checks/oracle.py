@@ -656,6 +656,29 @@ ORACLE: dict[str, str] = {
         """q AS (SELECT quantile_cont(total_amount, 0.25) AS q1, quantile_cont(total_amount, 0.75) AS q3
                  FROM raw)""",
     ),
+    # running values and ranks over all rows
+    "rows_running_values": f"""
+        WITH e AS (SELECT event_id, ts, CAST(value AS DECIMAL(18,2)) AS v FROM events)
+        SELECT event_id, ts, CAST({r("CAST(sum(v) OVER w AS DOUBLE)")} AS DOUBLE) AS running,
+               CAST(lag(v) OVER o AS DOUBLE) AS previous, CAST(v - lag(v) OVER o AS DOUBLE) AS change,
+               {r("CAST(sum(v) OVER s AS DOUBLE) / count(v) OVER s")} AS moving
+        FROM e
+        WINDOW o AS (ORDER BY ts, event_id),
+               w AS (ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING),
+               s AS (ORDER BY ts, event_id ROWS 6 PRECEDING)""",
+    "rows_global_ranks": """
+        SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, 'flag' AS ranked_by,
+               rank() OVER (ORDER BY l_returnflag) AS place,
+               dense_rank() OVER (ORDER BY l_returnflag) AS dense_place
+        FROM lineitem
+        UNION ALL
+        SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, 'quantity',
+               rank() OVER (ORDER BY l_quantity DESC), dense_rank() OVER (ORDER BY l_quantity DESC)
+        FROM lineitem""",
+    "rows_global_tiles": """
+        SELECT l_orderkey, l_linenumber, l_extendedprice, row_number() OVER o AS place,
+               CAST(ntile(4) OVER o AS BIGINT) AS quartile, CAST(ntile(100) OVER o AS BIGINT) AS hundredth
+        FROM lineitem WINDOW o AS (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber)""",
     "profile_histograms": over_raw(
         f"""SELECT g.column_name, CAST(g.bin AS INTEGER) AS bin, {r("low + width * g.bin", 4)} AS bin_low,
                    {r("low + width * g.bin + width", 4)} AS bin_high,

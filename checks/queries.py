@@ -17,7 +17,7 @@ from tripmart.functions import (
     rounded,
     safe_ratio,
 )
-from tripmart.operators import cleaning, profile, star, validation
+from tripmart.operators import cleaning, profile, scans, star, validation
 from tripmart.operators.quantiles import quantiles
 from tripmart.plans import charts, reports, trips, warehouse
 from tripmart.plans.trip_rules import (
@@ -652,6 +652,40 @@ def chart_payment_tips_sorted(spark, sf_dir):
     )
 
 
+# --- running values and ranks over all rows -----------------------------------
+
+
+@query
+def rows_running_values(spark, sf_dir):
+    """Running total, lag, change and 7-row mean of every event, in the order of time."""
+    found = scans.scan_rows(
+        table(spark, sf_dir, "events").select("event_id", "ts", "value"),
+        F.col("value").cast("decimal(18,2)"), ["ts", "event_id"],
+        "running", "previous", "change", "moving", nudge=NUDGE,
+    )
+    money = [F.col(c).cast("double").alias(c) for c in ("running", "previous", "change", "moving")]
+    return found.select("event_id", "ts", *money)
+
+
+@query
+def rows_global_ranks(spark, sf_dir):
+    """Ranks of all order lines by flag and quantity: each flag's ties fill several slices."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    orders = {"flag": ["l_returnflag"], "quantity": [("l_quantity", "desc")]}
+    return star.union_all([
+        scans.rank_rows(lines, by, "place", "dense_place").withColumn("ranked_by", F.lit(name))
+        for name, by in orders.items()
+    ])
+
+
+@query
+def rows_global_tiles(spark, sf_dir):
+    """Row numbers and tiles of all order lines in an order without ties."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    order = [("l_extendedprice", "desc"), "l_orderkey", "l_linenumber"]
+    return scans.rank_rows(lines, order, row_number="place", ntile={"quartile": 4, "hundredth": 100})
+
+
 # --- profile ----------------------------------------------------------------
 
 
