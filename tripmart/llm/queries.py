@@ -14,6 +14,7 @@ from tripmart.llm.decontamination import contamination
 from tripmart.llm.edits import edited_counts
 from tripmart.llm.katz import katz_scores
 from tripmart.llm.licenses import license_labels
+from tripmart.llm.merkle import folded, manifest, proof_digest
 from tripmart.llm.oracle import ORACLE
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
@@ -112,6 +113,25 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(docs, docs.filter("not held_out"), keep=("doc_id", "held_out"))
 
 
+def manifest_digests(docs: DataFrame) -> DataFrame:
+    """Leaves, roots and proofs of the documents, and what a copy leads to in which the lengths of some are one
+    too high. A null id counts as empty text."""
+    altered = F.when(remainder("doc_id", 7) == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    found = manifest(
+        docs, columns, key="doc_id", group="lang", keep=("doc_id",),
+        changed=["doc_id", "source", "lang", altered, "text"],
+    )
+    back = folded(F.col("changed_leaf"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), back.alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
@@ -123,5 +143,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 __all__ = ["ORACLE", "QUERIES"]
