@@ -12,6 +12,7 @@ from tripmart.llm import language, toxicity
 from tripmart.llm.common import remainder, table
 from tripmart.llm.decontamination import contamination
 from tripmart.llm.edits import edited_counts
+from tripmart.llm.html_text import main_text
 from tripmart.llm.katz import katz_scores
 from tripmart.llm.licenses import license_labels
 from tripmart.llm.merkle import folded, manifest, proof_digest
@@ -132,6 +133,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
@@ -144,5 +150,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_lm_scoring": op10_lm_scoring,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_html_extraction": op12_html_extraction,
 }
 __all__ = ["ORACLE", "QUERIES"]
