@@ -20,6 +20,7 @@ from tripmart.llm.oracle import ORACLE
 from tripmart.llm.packing import pack_documents
 from tripmart.llm.simhash import near_duplicate_groups
 from tripmart.llm.suffix_dedup import without_repeats
+from tripmart.llm.variants import spelling_variants
 from tripmart.llm.winnowing import fingerprint_edits
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -138,6 +139,10 @@ def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_toxicity": op2_toxicity,
@@ -151,5 +156,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lm_scoring": op10_lm_scoring,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_html_extraction": op12_html_extraction,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 __all__ = ["ORACLE", "QUERIES"]
