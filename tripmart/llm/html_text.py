@@ -87,16 +87,21 @@ def main_text(
     ])
     read = stored(spark, rows.mapInArrow(_read, schema), "pages")
     templates = stored(spark, site_templates(read, min_pages, min_share), "templates")
-    on_pages = read.select("row", "host", F.explode("every").alias("digest"))
+    boxed = F.exists("blocks", lambda b: F.size(b["around"]) > 0)
+    around = F.flatten(F.transform("blocks", lambda b: b["around"]))
+    on_pages = read.filter(boxed).select("row", "host", F.explode(F.array_distinct(around)).alias("digest"))
     # At most as many digests as the page has elements.
     removed = stored(
         spark,
         on_pages.join(templates, ["host", "digest"]).groupBy("row").agg(F.collect_set("digest").alias("gone")),
         "removed",
     )
+    # Only pages with a box around some candidate meet the join; the texts of the others are not moved.
+    joined = read.filter(boxed).join(removed.withColumnRenamed("row", "of"), F.col("row") == F.col("of"), "left")
+    whole = read.filter(~boxed).withColumn("of", F.lit(None).cast("long")).withColumn("gone", F.lit(None).cast("array<bigint>"))
     left = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("gone")), F.lit(False)))
     return (
-        read.join(removed.withColumnRenamed("row", "of"), F.col("row") == F.col("of"), "left")
+        joined.union(whole)
         .select(*kept, F.size("blocks").alias("all"), left.alias("left"))
         .select(
             *[F.col(k).alias(c) for c, k in zip(keep, kept)],

@@ -22,6 +22,7 @@ each get a row. An empty table yields no rows. Only the named columns are read.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping
 
 import pyarrow as pa
@@ -66,6 +67,17 @@ def plain(text: str) -> str:
     return text.translate(_TABLE)
 
 
+# White space to Python that parts no words here.
+_NO_BREAK = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def words_of(flat: str) -> list[str]:
+    """Words of a plain text: cut at blanks and line ends only."""
+    if _NO_BREAK.search(flat):
+        return [w for w in flat.replace("\n", " ").split(" ") if w]
+    return flat.split()
+
+
 def needed(words: int, threshold: float) -> int:
     return math.ceil(threshold * words - 1e-9)
 
@@ -77,7 +89,7 @@ def document_counts(docs: DataFrame, vocabulary: set[str], text_col: str = "text
         counts = dict.fromkeys(vocabulary, 0)
         for _, texts in slices(batches, "text"):
             for text in texts:
-                for word in vocabulary.intersection(plain(text).split()):
+                for word in vocabulary.intersection(words_of(plain(text))):
                     counts[word] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"]
@@ -163,26 +175,28 @@ def license_labels(
 
     def scan(text: str):
         flat = plain(text)
-        words = flat.split()
+        words = words_of(flat)
         joined = " " + " ".join(words) + " "
         places, labels = [], set()
         for phrase, label in phrases.items():
-            at = joined.find(f" {phrase} ")
+            at, seen, before = joined.find(f" {phrase} "), 0, 0
             while at >= 0:
-                places.append(joined.count(" ", 0, at))
+                before += joined.count(" ", seen, at)
+                seen = at
+                places.append(before)
                 labels.add(label)
                 at = joined.find(f" {phrase} ", at + 1)
         blocks = []
         if not index.prefix.isdisjoint(words):
             for line, block in enumerate(flat.split("\n")):
-                for label, share in sorted(index.matches(set(block.split())).items()):
+                for label, share in sorted(index.matches(set(words_of(block))).items()):
                     blocks.append({"line": line, "label": label, "share": share})
             best: dict[str, float] = {}
             for b in blocks:
                 best[b["label"]] = max(best.get(b["label"], 0.0), b["share"])
             runs = {at: share for at, share in index.runs(words).items() if share > best.get(at[1], 0.0)}
             if runs:
-                line_of = [line for line, block in enumerate(flat.split("\n")) for _ in block.split()]
+                line_of = [line for line, block in enumerate(flat.split("\n")) for _ in words_of(block)]
                 found: dict[tuple[int, str], float] = {}
                 for (at, label), share in runs.items():
                     found[line_of[at], label] = max(found.get((line_of[at], label), 0.0), share)

@@ -157,6 +157,8 @@ def find_keys(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     [batch.column(0).slice(a, b - a).take(pa.array(text, pa.int64())), *(pa.array(c.astype(np.int64)) for c in columns)],
                     ["tid", "key", "place", "first", "last"],
                 )
+        # Workers live on: what the task's batches shared goes with its last one.
+        _POWERS.clear()
 
     return texts.mapInArrow(run, "tid string, key long, place long, first long, last long")
 

@@ -22,7 +22,10 @@ import numpy as np
 
 # A space that is not followed by visible ASCII or a Latin letter.
 ODD_SPACE = re.compile(" (?![!-~À-ɏ])")
-CACHE_WORDS = 1_000_000
+# The table of words may hold so many bytes; an entry costs its text, its ids and about as much again
+# for the objects that hold them.
+CACHE_BYTES = 64 << 20
+ENTRY_BYTES = 190
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -59,7 +62,7 @@ def json_ranks(tokenizer_path: str) -> dict[bytes, int]:
 class WordEncoder:
     """Ids of texts as little-endian 32-bit words."""
 
-    def __init__(self, tokenizer_path: str, cache_words: int = CACHE_WORDS, encode_special_tokens: bool = True):
+    def __init__(self, tokenizer_path: str, cache_bytes: int = CACHE_BYTES, encode_special_tokens: bool = True):
         import public_tokenizers
         import tiktoken
 
@@ -76,7 +79,7 @@ class WordEncoder:
         longest = sorted(self.added, key=lambda t: (-len(t), t))
         self.cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
         self.cache: dict[str, bytes] = {}
-        self.cache_words = cache_words
+        self.cache_bytes, self.held = cache_bytes, 0
 
     @classmethod
     def of(cls, tokenizer_path: str) -> "WordEncoder":
@@ -95,9 +98,12 @@ class WordEncoder:
 
     def learn(self, words: set[str]) -> None:
         """Encode words that follow a space and are new."""
-        if len(self.cache) > self.cache_words:
+        if self.held > self.cache_bytes:
             self.cache.clear()
+            self.held = 0
         new = list(words.difference(self.cache))
+        # A word of n bytes has at most n + 1 ids of four bytes.
+        self.held += sum(ENTRY_BYTES + 5 * len(w) for w in new)
         if self.added:
             for word in filter(self.has_added, new):
                 self.cache[word] = self.whole(" " + word)

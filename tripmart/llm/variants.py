@@ -26,8 +26,6 @@ from tripmart.llm.common import ascii_lower, stored
 # Longest words, in code points, that the tries hold.
 DEEP = 32
 MIN_LENGTH, MIN_COUNT, RATIO = 6, 5, 5
-# Levels that are joined in one plan.
-LEVELS_PER_PLAN = 2
 
 
 def misspelt(word: Column, doc_id: Column, every: int) -> Column:
@@ -54,20 +52,19 @@ def word_counts(docs: DataFrame, every: int = 199, min_length: int = MIN_LENGTH,
 
 def edge_table(oriented: DataFrame, depth: int) -> DataFrame:
     """``side, node, ends, kids``: the nodes of both tries from ``depth`` on, whether a word ends there, and the edges
-    as (character, whether a word ends behind it): at most one per letter."""
+    as (character, whether a word ends behind it, the characters of the edges behind it): at most one per letter."""
     steps = oriented.select(
         "side", "w", F.explode(F.sequence(F.lit(depth), F.length("w"))).alias("at")
     ).select(
         "side",
         F.substring("w", F.lit(1), F.col("at")).alias("node"),
-        F.when(F.col("at") < F.length("w"), F.substring("w", F.col("at") + 1, F.lit(1))).alias("c"),
+        F.substring("w", F.col("at") + 1, F.lit(1)).alias("c"),
+        F.substring("w", F.col("at") + 2, F.lit(1)).alias("d"),
         (F.col("at") + 1 == F.length("w")).alias("t"),
     )
-    edges = steps.groupBy("side", "node", "c").agg(F.max("t").alias("t"))
-    return edges.groupBy("side", "node").agg(
-        F.max(F.col("c").isNull()).alias("ends"),
-        F.collect_list(F.when(F.col("c").isNotNull(), F.struct("c", "t"))).alias("kids"),
-    )
+    edges = steps.groupBy("side", "node", "c").agg(F.max("t").alias("t"), F.array_join(F.collect_set("d"), "").alias("behind"))
+    edge = F.when(F.col("c") != "", F.struct("c", "t", "behind"))
+    return edges.groupBy("side", "node").agg(F.max(F.col("c") == "").alias("ends"), F.collect_list(edge).alias("kids"))
 
 
 def _advanced(frontier: DataFrame, edges: DataFrame) -> DataFrame:
@@ -79,21 +76,25 @@ def _advanced(frontier: DataFrame, edges: DataFrame) -> DataFrame:
     def letter(shift: int) -> Column:
         return F.substring("w", pos + shift + 1, F.lit(1))
 
-    def moved(steps: int, to: Column, is_word: Column) -> Column:
+    def moved(steps: int, to: Column, is_word: Column, behind: Column) -> Column:
+        """A state with its edit spent; -1 where the edges behind it show that it leads nowhere."""
         done = pos + steps == length
-        edits = F.when(done & is_word, 2).when(done, -1).otherwise(1)
+        edits = F.when(done & is_word, 2).when(~done & F.contains(behind, letter(steps)), 1).otherwise(-1)
         return F.struct((pos + steps).alias("pos"), to.alias("node"), edits.alias("edits"))
 
+    def over(edges: Column, steps: int) -> Column:
+        return F.transform(edges, lambda k: moved(steps, F.concat(node, k["c"]), k["t"], k["behind"]))
+
     def along(c: Column, steps: int) -> Column:
-        return F.transform(F.filter(kids, lambda k: k["c"] == c), lambda k: moved(steps, F.concat(node, k["c"]), k["t"]))
+        return over(F.filter(kids, lambda k: k["c"] == c), steps)
 
     others = F.filter(kids, lambda k: k["c"] != letter(0))  # past the last letter: all
-    none = F.filter(F.array(moved(0, node, F.lit(False))), lambda s: F.lit(False))
+    none = F.slice(F.array(moved(0, node, F.lit(False), F.lit(""))), 1, 0)
     more = pos < length
     kept = F.array(F.struct((pos + 1).alias("pos"), F.concat(node, letter(0)).alias("node"), F.lit(0).alias("edits")))
-    inserted = F.transform(others, lambda k: moved(0, F.concat(node, k["c"]), k["t"]))
-    replaced = F.transform(others, lambda k: moved(1, F.concat(node, k["c"]), k["t"]))
-    deleted = F.when(pos + 1 == length, F.array(moved(1, node, F.col("ends")))).otherwise(along(letter(1), 2))
+    inserted, replaced = over(others, 0), over(others, 1)
+    last = F.array(moved(1, node, F.col("ends"), F.lit("")))
+    deleted = F.when(pos + 1 == length, last).otherwise(along(letter(1), 2))
     nexts = F.when(
         F.col("edits") == 0,
         F.concat(inserted, F.when(more, F.concat(kept, replaced, deleted)).otherwise(none)),
@@ -118,13 +119,10 @@ def trie_neighbours(words: DataFrame, deep: int, name: str) -> DataFrame:
     )
     found = []
     # One level per letter behind the middle, and one for a letter put behind the last.
-    for level in range(1, shape[1] + 2):
-        live = states.filter("edits < 2")
-        # Pairs found on a level that is not stored go on as they are.
-        states = _advanced(live, edges).union(states.filter("edits = 2")) if level % LEVELS_PER_PLAN != 1 else _advanced(live, edges)
-        if level % LEVELS_PER_PLAN == 0 or level == shape[1] + 1:
-            states = stored(spark, states, name)
-            found.append(states.filter("edits = 2"))
+    for _ in range(shape[1] + 1):
+        states = stored(spark, _advanced(states, edges), name)
+        found.append(states.filter("edits = 2"))
+        states = states.filter("edits < 2")
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.union(more)
