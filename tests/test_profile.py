@@ -132,3 +132,60 @@ def test_density_against_direct_sum(make):
 
 def test_density_needs_spread(make):
     assert profile.densities(make([(1.0,)] * 3, "x double"), ["x"]).count() == 0
+
+
+def test_samples_against_a_plain_sort(make):
+    rng = np.random.default_rng(8)
+    rows = [
+        (None if rng.random() < 0.1 else int(rng.integers(0, 12)), None if rng.random() < 0.3 else f"v{rng.integers(0, 40)}", None, float(i))
+        for i in range(700)
+    ]
+    df = make(rows, "k int, s string, z string, x double").repartition(13)
+    for order_by, n in (("k", 7), (None, 5), ("x", 3)):
+        place = {"k": 0, "x": 3, None: None}[order_by]
+        got = {r.column_name: r.samples for r in profile.column_samples(df, order_by, n, width=400).collect()}
+        for i, name in enumerate(df.columns):
+            key = lambda r: (0, 0) if place is None else (r[place] is not None, r[place] or 0)
+            known = sorted((*key(r), str(r[i])) for r in rows if r[i] is not None)
+            assert got[name] == ", ".join(v for *_, v in known[:n])
+
+
+def test_samples_in_the_order_of_any_simple_type(make):
+    rows = [(i, i % 2 == 0, f"{i:03d}") for i in range(60, 0, -1)]
+    df = make(rows, "i int, b boolean, s string").selectExpr(
+        "i", "b", "s", "CAST(i AS DECIMAL(9,2)) AS d", "date_add(DATE'2024-01-01', i) AS day",
+        "timestamp_seconds(i) AS t", "CAST(timestamp_seconds(i) AS TIMESTAMP_NTZ) AS ntz", "CAST(i AS FLOAT) AS f",
+        "CAST(s AS BINARY) AS bin", "array(i) AS list",
+    )
+    for order_by in ("i", "s", "d", "day", "t", "ntz", "f", "bin"):
+        got = {r.column_name: r.samples for r in profile.column_samples(df, order_by, 3).collect()}
+        assert got["i"] == "1, 2, 3" and got["list"] == "[1], [2], [3]"
+    assert {r.column_name: r.samples for r in profile.column_samples(df, "b", 2).collect()}["i"] == "1, 11"
+
+
+def test_samples_of_no_rows_and_of_names_used_inside(make):
+    assert values(profile.column_samples(make([], "a int"))) == []
+    assert [r[-1] for r in values(profile.schema_table(make([], "a int")))] == [None]
+    df = make([("x", 2, 3)], "value string, place int, c0 int")
+    assert dict(values(profile.column_samples(df, "place"), "column_name", "samples")) == {"value": "x", "place": "2", "c0": "3"}
+
+
+def test_densities_of_many_blocks_and_tasks(make):
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=5000)
+    df = make([(float(v), float(v) ** 2) for v in data], "x double, y double").repartition(9)
+    for column, of in (("x", data), ("y", data**2)):
+        shown = of[of <= np.quantile(of, 0.99)]
+        grid = np.linspace(shown.min(), shown.max(), 200)
+        found = profile.densities(df, ["x", "y"], digits=9).filter(f"column_name = '{column}'").collect()
+        assert [r.point for r in found] == list(range(200))
+        assert np.allclose([r.density for r in found], density(shown, grid), atol=1e-8)
+
+
+def test_profile_plans_do_not_multiply_rows(make, spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    dense = profile.densities(df, ["o_totalprice"])._jdf.queryExecution().optimizedPlan().toString()
+    # Only the grids of the tasks are exploded, above the task function.
+    assert dense.index("posexplode(mass") < dense.index("MapInArrow") and "sequence(" not in dense
+    samples = profile.column_samples(df, "o_orderkey")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in samples and "Window" not in samples

@@ -31,6 +31,11 @@ DENSITY_POINTS = 200
 SAMPLE_VALUES = 5
 SAMPLE_WIDTH = 60
 
+# Into how many groups of tasks the samples of a column are merged first.
+SAMPLE_PARTS = 512
+# Kernel values that a task holds at a time while it sums densities.
+KERNEL_CELLS = 400_000
+
 
 def _percent(part: Column, whole: Column, digits: int, nudge: float) -> Column:
     """Percentage of a whole; zero when there is nothing to divide by."""
@@ -58,32 +63,66 @@ def column_nulls(df: DataFrame) -> DataFrame:
     return df.agg(stats.alias("s")).select(F.inline("s"))
 
 
+def _first_values(n: int, columns: int):
+    """A task function that keeps, for each column, the ``n`` first values in the order of place and text.
+
+    It carries all it needs, so the executors need no copy of this package.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        # A place that is null comes before all others.
+        order = [(name, "ascending") for name in ("known", "place", "value")]
+        held = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place = batch.column(0)
+            known = place.is_valid().cast(pa.int8())
+            found = []
+            for i in range(columns):
+                value = batch.column(i + 1)
+                rows = pa.table([known, place, value], ["known", "place", "value"]).filter(value.is_valid())
+                found.append(pa.concat_tables([held[i], rows]) if held else rows)
+            # What is kept is copied, so that no batch stays in memory.
+            held = [
+                (t.take(pc.select_k_unstable(t, k=n, sort_keys=order)) if t.num_rows > n else t).combine_chunks()
+                for t in found
+            ]
+        for i, kept in enumerate(held):
+            entries = [c.combine_chunks() for c in kept.columns[1:]]
+            entries = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in entries]
+            listed = pa.ListArray.from_arrays([0, kept.num_rows], pa.StructArray.from_arrays(entries, ["place", "value"]))
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), listed], ["position", "kept"])
+
+    return run
+
+
 def column_samples(
     df: DataFrame, order_by: str | None = None, n: int = SAMPLE_VALUES, width: int = SAMPLE_WIDTH
 ) -> DataFrame:
     """``column_name, samples``: the first ``n`` non-null values of each column by ``order_by``
-    and, where that is equal or not given, by their text.
+    and, where that is equal or not given, by their text. A column of nulls only has an empty list;
+    a table without rows has no row.
 
-    One pass for all columns: each row becomes one row per column, of which a task keeps ``n``
-    per column before anything is shuffled.
+    One pass for all columns. Every task keeps ``n`` values per column and sends one row per column;
+    these are merged in two steps, so that no task meets those of all others.
     """
     place = col(order_by) if order_by else F.lit(0)
-    values = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), place.alias("place"), col(c).cast("string").alias("value"))
-            for c in df.columns
-        ]
+    rows = df.select(place.alias("place"), *[col(c).cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)])
+    entry = T.StructType([T.StructField("place", rows.schema["place"].dataType), T.StructField("value", T.StringType())])
+    schema = T.StructType([T.StructField("position", T.IntegerType()), T.StructField("kept", T.ArrayType(entry))])
+    kept = rows.mapInArrow(_first_values(n, len(df.columns)), schema).withColumn(
+        "part", F.spark_partition_id() % SAMPLE_PARTS
     )
-    # Nulls come last and are no samples; a column of nulls only has an empty list.
-    first = Window.partitionBy("column_name").orderBy(F.col("value").isNull(), "place", "value")
-    kept = (
-        df.select(F.inline(values))
-        .withColumn("n", F.row_number().over(first))
-        .filter(F.col("n") <= n)
-    )
-    listed = F.array_sort(F.collect_list(F.struct("n", "value")))["value"]
-    return kept.groupBy("column_name").agg(
-        F.substring(F.concat_ws(", ", listed), 1, width).alias("samples")
+    first = F.slice(F.sort_array(F.flatten(F.collect_list("kept"))), 1, n).alias("kept")
+    merged = kept.groupBy("position", "part").agg(first).groupBy("position").agg(first)
+    names = F.array(*[F.lit(c) for c in df.columns])
+    return merged.select(
+        F.element_at(names, F.col("position") + 1).alias("column_name"),
+        F.substring(F.concat_ws(", ", F.col("kept.value")), 1, width).alias("samples"),
     )
 
 
@@ -372,6 +411,46 @@ def histograms(
     )
 
 
+def _kernel_sums(points: int):
+    """A task function that sums the weighted kernels of its values at every point of each column's grid.
+
+    It carries all it needs, so the executors need no copy of this package.
+    """
+    cells = KERNEL_CELLS
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        block = max(1, cells // points)
+        sums = {}
+        for batch in batches:
+            named = batch.column(0).dictionary_encode()
+            codes = named.indices.to_numpy()
+            value, weight = (batch.column(i).to_numpy() for i in (1, 2))
+            for code, series in enumerate(named.dictionary.to_pylist()):
+                mine = np.nonzero(codes == code)[0]
+                low, high, h, n = (batch.column(i)[int(mine[0])].as_py() for i in (3, 4, 5, 6))
+                x = low + (high - low) * np.arange(points) / float(points - 1)
+                _, mass = sums.setdefault(series, ((low, high, h, n), np.zeros(points)))
+                for at in range(0, len(mine), block):
+                    some = mine[at : at + block]
+                    z = (x[:, None] - value[some]) / h
+                    mass += np.exp(-0.5 * z * z) @ weight[some]
+        if sums:
+            scales = list(zip(*(scale for scale, _ in sums.values())))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(sums), pa.string()),
+                    *(pa.array(c, pa.float64()) for c in scales),
+                    pa.array([mass for _, mass in sums.values()], pa.list_(pa.float64())),
+                ],
+                names=["series", "low", "high", "h", "n", "mass"],
+            )
+
+    return run
+
+
 def densities(
     df: DataFrame,
     columns: Sequence[str],
@@ -384,7 +463,8 @@ def densities(
     """Gaussian kernel density of every column below its cap, at equally spaced points.
 
     The bandwidth is ``sd * n ** (-1/5)``. Each distinct value contributes once, with its
-    weight, to every point, and each task sums its contributions before the shuffle.
+    weight, to every point. A task adds whole grids of points and sends one per column: rows are
+    not multiplied by the number of points, and the shuffle does not grow with the number of values.
     ``cells`` first gathers the values into that many cells per column, which bounds the work
     for columns whose values hardly repeat, at the cost of an approximation.
     """
@@ -414,23 +494,24 @@ def densities(
         "n",
         (F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).alias("h"),
     )
+    scaled = capped.join(F.broadcast(grid), F.col("series") == F.col("of")).select(
+        "series", "value", F.col("weight").cast("double").alias("weight"), "low", "high", "h", F.col("n").cast("double").alias("n")
+    )
+    # One row per task and column.
+    grids = scaled.mapInArrow(
+        _kernel_sums(points), "series string, low double, high double, h double, n double, mass array<double>"
+    )
+    of = ["series", "low", "high", "h", "n"]
+    summed = (
+        grids.select(*of, F.posexplode("mass").alias("point", "part"))
+        .groupBy(*of, "point")
+        .agg(F.sum("part").alias("mass"))
+    )
     x = F.col("low") + (F.col("high") - F.col("low")) * F.col("point") / F.lit(float(points - 1))
-    kernel = F.exp(F.lit(-0.5) * ((F.col("x") - F.col("value")) / F.col("h")) ** 2)
     norm = F.col("n") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi())
-    return (
-        capped.join(F.broadcast(grid), F.col("series") == F.col("of"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-        .select("series", "value", "weight", "n", "h", "point", x.alias("x"))
-        .groupBy("series", "point")
-        .agg(
-            F.sum(F.col("weight") * kernel).alias("mass"),
-            *[F.max(c).alias(c) for c in ("x", "n", "h")],  # equal within a point
-        )
-        .select(
-            F.col("series").alias("column_name"),
-            "point",
-            rounded("x", 4, nudge).alias("x"),
-            rounded(F.col("mass") / norm, digits, nudge).alias("density"),
-        )
-        .orderBy("column_name", "point")
-    )
+    return summed.select(
+        F.col("series").alias("column_name"),
+        "point",
+        rounded(x, 4, nudge).alias("x"),
+        rounded(F.col("mass") / norm, digits, nudge).alias("density"),
+    ).orderBy("column_name", "point")
