@@ -203,3 +203,40 @@ def test_reconciliation(make):
     assert values(validation.reconcile(raw, kept)) == [(8, 7, 1, 12.5)]
     none = make([], "a int")
     assert values(validation.reconcile(none, none)) == [(0, 0, 0, 0.0)]
+
+
+def test_verdict_per_landed_file(spark, tmp_path):
+    folder = tmp_path / "landed in"
+    spark.range(30).coalesce(1).write.parquet(str(folder / "whole"))
+    spark.range(30).filter("id < 0").coalesce(1).write.parquet(str(folder / "no rows"))
+    for kind in ("whole", "no rows"):
+        (part,) = (folder / kind).glob("part-*.parquet")
+        part.rename(folder / f"{kind}.parquet")
+    sound = (folder / "whole.parquet").read_bytes()
+    (folder / "cut.parquet").write_bytes(sound[: len(sound) // 2])
+    (folder / "noise.parquet").write_bytes(b"PAR1" + bytes(40) + b"\x10\x00\x00\x00PAR1")
+    (folder / "nothing.parquet").write_bytes(b"")
+    (folder / "lines.csv").write_text("a\n1\n")
+    (folder / "x.exe").write_text("a")
+    found = {
+        r.file_name: r for r in landing.file_verdicts(spark, str(folder), min_rows=10, glob="*.*").collect()
+        if not r.file_name.startswith(("_", "."))
+    }
+    assert set(found) == {"whole.parquet", "no rows.parquet", "cut.parquet", "noise.parquet", "nothing.parquet", "lines.csv", "x.exe"}
+    assert {n for n, r in found.items() if r.accepted} == {"whole.parquet", "lines.csv"}
+    assert (found["whole.parquet"].row_count, found["no rows.parquet"].row_count) == (30, 0)
+    assert found["no rows.parquet"].enough_rows is False and found["lines.csv"].enough_rows is None
+    for broken in ("cut.parquet", "noise.parquet", "nothing.parquet"):
+        assert found[broken].row_count is None and found[broken].fault
+    assert found["whole.parquet"].fault is None and found["whole.parquet"].md5
+    assert landing.file_verdicts(spark, str(folder), checksum=False, glob="*.csv").first().md5 is None
+
+
+def test_footers_are_spread_over_tasks(spark, tmp_path):
+    spark.range(400).repartition(40).write.parquet(str(tmp_path / "t"))
+    found = landing.footer_rows(spark, str(tmp_path / "t"), "*.parquet")
+    assert found.agg(F.sum("row_count")).first()[0] == 400
+    tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" not in plan

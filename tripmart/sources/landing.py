@@ -24,8 +24,8 @@ READABLE = ("file", "s3", "gs", "gcs", "hdfs", "viewfs", "abfs", "abfss")
 OpenStream = Callable[[str], BinaryIO]
 
 
-def _streams() -> OpenStream:
-    """Opens a file of a store for reading, by its URI.
+def _streams(seekable: bool = False) -> OpenStream:
+    """Opens a file of a store for reading, by its URI; ``seekable`` ones may be read at any place.
 
     It carries all it needs, so the executors need no copy of this package.
     """
@@ -39,6 +39,8 @@ def _streams() -> OpenStream:
         else:
             scheme, _, rest = path.partition(":")
             filesystem, inner = fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{rest}")
+        if seekable:
+            return filesystem.open_input_file(inner)
         return filesystem.open_input_stream(inner, compression=None)
 
     return open_stream
@@ -63,6 +65,30 @@ def _stream_digests(open_stream: OpenStream, chunk_bytes: int = CHUNK_BYTES):
     return add_digests
 
 
+def _read_footers(open_file: OpenStream):
+    """A task function that reads the number of rows from the footers of Parquet files."""
+
+    def add_rows(batches):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+
+        for batch in batches:
+            rows, faults = [], []
+            for path in batch.column(0).to_pylist():
+                try:
+                    with open_file(path) as file:
+                        rows.append(pq.ParquetFile(file).metadata.num_rows)
+                    faults.append(None)
+                except (pa.ArrowInvalid, OSError) as error:
+                    rows.append(None)
+                    faults.append(f"{type(error).__name__}: {str(error).splitlines()[0][:200]}")
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(rows, pa.int64()), pa.array(faults, pa.string())], ["path", "row_count", "fault"]
+            )
+
+    return add_rows
+
+
 def _listed(df: DataFrame) -> DataFrame:
     """``path``: every file that a scan was planned from, as ``file:///x`` or another full URI.
 
@@ -78,6 +104,20 @@ def _full_uri(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/(?!/)", "file:///")
 
 
+def _check_stores(roots: Sequence[str], instead: str) -> None:
+    for root in roots:
+        scheme = root.partition(":")[0] if ":" in root.split("/")[0] else "file"
+        if SCHEMES.get(scheme, scheme) not in READABLE:
+            raise ValueError(f"no reader for {root}: pass {instead}")
+
+
+def _files(spark: SparkSession, roots: Sequence[str], glob: str | None) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return reader.load(list(roots))
+
+
 def landing_manifest(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -93,17 +133,11 @@ def landing_manifest(
     the credentials of the executors' environment. A path in a store that this cannot read is
     refused before any file is read. Without ``checksum`` no file is opened and ``md5`` is null.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     roots = [path] if isinstance(path, str) else list(path)
     if checksum and open_stream is None:
-        for root in roots:
-            scheme = root.partition(":")[0] if ":" in root.split("/")[0] else "file"
-            if SCHEMES.get(scheme, scheme) not in READABLE:
-                raise ValueError(f"no reader for {root}: pass open_stream, or checksum=False")
+        _check_stores(roots, "open_stream, or checksum=False")
         open_stream = _streams()
-    files = reader.load(roots)
+    files = _files(spark, roots, glob)
     sized = files.select(_full_uri(F.col("path")).alias("path"), "length")
     if checksum:
         sized = sized.mapInPandas(_stream_digests(open_stream), "path string, length long, md5 string")
@@ -152,6 +186,49 @@ def rows_per_file(
     )
 
 
+def footer_rows(
+    spark: SparkSession, path: str | Sequence[str], glob: str | None = None, open_file: OpenStream | None = None
+) -> DataFrame:
+    """``path, row_count, fault``: rows of every Parquet file, from its footer; no row is read.
+
+    The footers are spread over the cluster. A file whose footer cannot be read has a null count and
+    says why in ``fault``; it stops nothing. ``open_file`` opens a file by its URI, at any place.
+    """
+    roots = [path] if isinstance(path, str) else list(path)
+    if open_file is None:
+        _check_stores(roots, "open_file")
+        open_file = _streams(seekable=True)
+    paths = _listed(_files(spark, roots, glob)).filter(F.lower("path").endswith(".parquet"))
+    # A number of partitions that is given is not merged at run time, however short the rows.
+    spread = paths.repartition(spark.sparkContext.defaultParallelism, "path")
+    return spread.mapInArrow(_read_footers(open_file), "path string, row_count long, fault string")
+
+
+def file_verdicts(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    min_rows: int = MIN_ROWS,
+    allowed: Sequence[str] = ALLOWED_EXTENSIONS,
+    glob: str | None = None,
+    checksum: bool = True,
+    open_stream: OpenStream | None = None,
+    open_file: OpenStream | None = None,
+) -> DataFrame:
+    """One row per landed file: the columns of its manifest, ``row_count``, ``fault``, ``enough_rows``
+    and ``accepted``.
+
+    Only Parquet files tell their rows; for others ``row_count`` and ``enough_rows`` are null and say nothing
+    against the file.
+    """
+    manifest = landing_manifest(spark, path, allowed, glob, checksum, open_stream)
+    rows = footer_rows(spark, path, glob, open_file)
+    enough = F.col("row_count") >= min_rows
+    sound = F.col("non_empty") & F.col("extension_ok") & F.col("fault").isNull()
+    return manifest.join(rows, "path", "left").withColumns(
+        {"enough_rows": enough, "accepted": sound & F.coalesce(enough, F.lit(True))}
+    )
+
+
 def land_by_month(df: DataFrame, ts: str, base: str, dataset: str) -> str:
     """Write under ``<base>/<dataset>/year=Y/month=M/`` and return the dataset path.
 
