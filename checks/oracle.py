@@ -356,10 +356,15 @@ ORACLE: dict[str, str] = {
     )
     + " UNION ALL SELECT '(no rows)', CAST(0 AS BIGINT), false",
     "landing_manifest": """
-        SELECT CAST(r_regionkey AS INTEGER) AS r_regionkey,
-               CAST(strlen(r_name) + 1 AS BIGINT) AS size_bytes, '.txt' AS extension,
-               md5(r_name || chr(10)) AS md5, true AS non_empty, false AS extension_ok
-        FROM region""",
+        SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(13 * count(*) AS BIGINT) AS size_bytes,
+               '.txt' AS extension,
+               md5(string_agg(lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || chr(10), '' ORDER BY o_orderkey)) AS md5,
+               true AS non_empty, false AS extension_ok
+        FROM orders GROUP BY 1""",
+    "landing_file_verdicts": f"""
+        SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {COUNT} AS row_count, CAST(NULL AS VARCHAR) AS fault,
+               true AS extension_ok, count(*) >= 2000 AS enough_rows, count(*) >= 2000 AS accepted
+        FROM orders GROUP BY 1""",
     "landing_by_month": f"""
         SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
                {COUNT} AS order_count, {r("sum(o_totalprice)")} AS total_price
@@ -656,6 +661,17 @@ ORACLE: dict[str, str] = {
         """q AS (SELECT quantile_cont(total_amount, 0.25) AS q1, quantile_cont(total_amount, 0.75) AS q3
                  FROM raw)""",
     ),
+    # stored sketches
+    "sketch_quantiles_merged": f"""
+        SELECT series, (SELECT {COUNT} FROM lineitem) AS n, share_name, true AS within_error
+        FROM (VALUES ('price'), ('quantity')) s(series),
+             (VALUES ('p01'), ('p25'), ('p50'), ('p75'), ('p99')) p(share_name)""",
+    "sketch_quantiles_by_year": " UNION ALL ".join(
+        f"""SELECT CAST(year(l_shipdate) AS INTEGER) AS year, '{name}' AS series, {COUNT} AS n,
+                   min(CAST({c} AS DOUBLE)) AS low, max(CAST({c} AS DOUBLE)) AS high, true AS within_error
+            FROM lineitem GROUP BY 1"""
+        for name, c in (("price", "l_extendedprice"), ("quantity", "l_quantity"))
+    ),
     # running values and ranks over all rows
     "rows_running_values": f"""
         WITH e AS (SELECT event_id, ts, CAST(value AS DECIMAL(18,2)) AS v FROM events)

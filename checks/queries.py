@@ -17,7 +17,7 @@ from tripmart.functions import (
     rounded,
     safe_ratio,
 )
-from tripmart.operators import cleaning, profile, scans, star, validation
+from tripmart.operators import cleaning, profile, scans, sketches, star, validation
 from tripmart.operators.quantiles import quantiles
 from tripmart.plans import charts, reports, trips, warehouse
 from tripmart.plans.trip_rules import (
@@ -101,16 +101,26 @@ def optional_tables_as_views(spark, sf_dir):
 
 @query
 def landing_manifest(spark, sf_dir):
-    """One text file per region; the data table itself names the bytes."""
-    path = workspace(spark, "regions")
-    table(spark, sf_dir, "region").select(
-        "r_name", F.col("r_regionkey").alias("key")
-    ).repartition("key").write.partitionBy("key").text(path)
+    """One text file of order keys per year."""
+    path = workspace(spark, "order-keys")
+    keys = F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
+    table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), keys.alias("value")).repartition(
+        "year"
+    ).sortWithinPartitions("year", "value").write.partitionBy("year").text(path)
     found = landing.landing_manifest(spark, path, glob="*.txt")
-    key = F.regexp_extract("path", "key=([0-9]+)/", 1).cast("int")
-    return found.select(
-        key.alias("r_regionkey"), "size_bytes", "extension", "md5", "non_empty", "extension_ok"
-    )
+    year = F.regexp_extract("path", "year=([0-9]+)/", 1).cast("int")
+    return found.select(year.alias("year"), "size_bytes", "extension", "md5", "non_empty", "extension_ok")
+
+
+@query
+def landing_file_verdicts(spark, sf_dir):
+    """One Parquet file of orders per year, each with its verdict."""
+    path = workspace(spark, "order-years")
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    orders.repartition("year").write.partitionBy("year").parquet(path)
+    found = landing.file_verdicts(spark, path, min_rows=2000)
+    year = F.regexp_extract("path", "year=([0-9]+)/", 1).cast("int")
+    return found.select(year.alias("year"), "row_count", "fault", "extension_ok", "enough_rows", "accepted")
 
 
 @query
@@ -686,6 +696,55 @@ def rows_global_tiles(spark, sf_dir):
     return scans.rank_rows(lines, order, row_number="place", ntile={"quartile": 4, "hundredth": 100})
 
 
+# --- stored sketches ----------------------------------------------------------
+
+SKETCHED = {"price": "l_extendedprice", "quantity": "l_quantity"}
+SKETCHED_SHARES = {"p01": 0.01, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p99": 0.99}
+SKETCH_ERROR = 0.01
+
+
+def landed_sketches(spark, sf_dir):
+    """Order lines with their ship month, and sketches by month. Some months land in part first; when
+    they land again, their sketches are replaced."""
+    month = {"year": F.year("l_shipdate"), "month": F.month("l_shipdate")}
+    lines = table(spark, sf_dir, "lineitem").withColumns(month)
+    base = workspace(spark, "sketches")
+    for rows in (lines.filter("l_linenumber = 1 AND month % 2 = 0"), lines):
+        path = sketches.land_sketches(rows, SKETCHED, ["year", "month"], base)
+    return lines, sketches.read_sketches(spark, path)
+
+
+def rank_checked(lines, found, by=()):
+    """Whether the rank of each quantile in ``found`` is off by no more than the error, from the rows."""
+    names = [c for c in found.columns if c in SKETCHED_SHARES]
+    asked = found.unpivot([*by, "series", "n"], names, "share_name", "at")  # one row per quantile
+    share = F.element_at(F.create_map(*[F.lit(x) for kv in SKETCHED_SHARES.items() for x in kv]), F.col("share_name"))
+    long = lines.select(*by, *[F.col(c).cast("double").alias(n) for n, c in SKETCHED.items()]).unpivot(
+        [*by], list(SKETCHED), "series", "value"
+    )
+    counted = long.join(F.broadcast(asked), [*by, "series"]).groupBy(*by, "series", "n", "share_name").agg(
+        F.count_if(F.col("value") < F.col("at")).alias("below"), F.count_if(F.col("value") <= F.col("at")).alias("upto")
+    )
+    within = (F.col("below") <= (share + SKETCH_ERROR) * F.col("n")) & (F.col("upto") >= (share - SKETCH_ERROR) * F.col("n"))
+    return counted.select(*by, "series", "n", "share_name", within.alias("within_error"))
+
+
+@query
+def sketch_quantiles_merged(spark, sf_dir):
+    """Quantiles of all months together: rows that the sketches stand for, and whether the ranks hold."""
+    lines, stored_sketches = landed_sketches(spark, sf_dir)
+    return rank_checked(lines, sketches.merged_quantiles(stored_sketches, SKETCHED_SHARES))
+
+
+@query
+def sketch_quantiles_by_year(spark, sf_dir):
+    """The same per year, with the year's range."""
+    lines, stored_sketches = landed_sketches(spark, sf_dir)
+    found = sketches.merged_quantiles(stored_sketches, {"p50": 0.5}, ["year"])
+    checked = rank_checked(lines, found, ["year"]).drop("n", "share_name")
+    return found.drop("p50").join(checked, ["year", "series"])
+
+
 # --- profile ----------------------------------------------------------------
 
 
