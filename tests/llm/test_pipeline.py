@@ -4,6 +4,7 @@ import collections
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_simhash import grouped, plain_fingerprint
@@ -122,3 +123,20 @@ def test_packing(staged):
         assert at <= 1024
     total = sum(r.length for r in pieces)
     assert len(places) <= 1.05 * total / 1024 + 1
+
+
+# Names that operators use inside.
+CLASHING = ["score", "_text", "_id", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256", "component_id", "fp", "tid", "_col0"]
+
+
+def test_columns_may_have_names_that_operators_use(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.select("*", *[F.concat_ws(" ", F.lit(c), "doc_id").alias(c) for c in CLASHING])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, SF).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        assert docs.columns == COLUMNS + CLASHING
+        rows = docs.collect()
+        assert rows and all(r[c] == f"{c} {r.doc_id}" for r in rows for c in CLASHING)
+    packed = corpus_pipeline.pack(spark, docs, SF)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in rows}
