@@ -745,3 +745,13 @@ ORACLE: dict[str, str] = {
                {r("100.0 * (a.n - b.n) / a.n")} AS removed_pct
         FROM (SELECT {COUNT} AS n FROM raw) a, (SELECT {COUNT} AS n FROM fact) b"""),
 }
+
+ORACLE["build_counted_tables"] = ORACLE["validate_stored_tables"]
+ORACLE["build_counted_steps"] = over_fact(f"""
+    SELECT 'raw' AS step, {COUNT} AS step_rows FROM raw
+    UNION ALL SELECT 'no_distance', {COUNT} FROM raw WHERE trip_distance IS NULL OR NOT trip_distance > 0
+    UNION ALL
+    SELECT 'repeated', CAST((SELECT count(*) FROM raw WHERE trip_distance > 0) - (SELECT count(*) FROM valid) AS BIGINT)
+    UNION ALL
+    SELECT 'implausible_duration', CAST((SELECT count(*) FROM valid) - (SELECT count(*) FROM fact) AS BIGINT)
+    UNION ALL SELECT 'stored', {COUNT} FROM fact""")

@@ -829,3 +829,24 @@ def validate_key_nulls(spark, sf_dir):
 @query
 def validate_reconciliation(spark, sf_dir):
     return validation.reconcile(raw_trips(spark, sf_dir), fact(spark, sf_dir), NUDGE)
+
+
+def counted_build(spark, sf_dir):
+    """Counts of a build of its own, taken while its tables were written."""
+    base = workspace(spark, "counted-warehouse")
+    _, counts = warehouse.build_warehouse_counted(spark, raw_trips(spark, sf_dir), base, RULES)
+    return counts
+
+
+@query
+def build_counted_tables(spark, sf_dir):
+    return validation.counted_checks(spark, counted_build(spark, sf_dir).tables).drop("path")
+
+
+@query
+def build_counted_steps(spark, sf_dir):
+    """Rows that came in, that went by reason, and that were stored."""
+    counts = counted_build(spark, sf_dir)
+    stored_rows = counts.tables[warehouse.FACT]["row_count"]
+    rows = [("raw", counts.load["raw_rows"]), *counts.removed().items(), ("stored", stored_rows)]
+    return spark.createDataFrame(rows, "step string, step_rows long")

@@ -15,19 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.operators import profile
-from tripmart.operators.star import union_all
 from tripmart.operators.validation import (
-    KEY_COLUMNS,
-    key_nulls,
-    reconcile,
+    counted_checks,
+    counted_key_nulls,
+    counted_reconciliation,
     require_rows,
-    validate_tables,
 )
 from tripmart.plans import charts, reports
 from tripmart.plans.trip_rules import DISTRIBUTION_COLUMNS, CleaningRules
-from tripmart.plans.warehouse import DIMENSIONS, FACT, Warehouse, build_warehouse
+from tripmart.plans.warehouse import DIMENSIONS, FACT, Warehouse, build_warehouse_counted
 from tripmart.sources import landing
-from tripmart.sources.readers import load_summary, read_available, read_first_available
+from tripmart.sources.readers import read_available, read_first_available
 from tripmart.sources.sinks import write_csv, write_table
 
 
@@ -77,16 +75,21 @@ def profile_tables(
 def build(
     spark: SparkSession, raw: DataFrame, out: str, rules: CleaningRules = CleaningRules()
 ) -> dict[str, DataFrame]:
-    """Build the warehouse, refuse it if a table has no rows, and return the checks."""
-    built = build_warehouse(spark, raw, out, rules)
-    tables = {name: built.table(spark, name) for name in built.paths}
-    summary = validate_tables(tables, paths=built.paths)
+    """Build the warehouse, refuse it if a table has no rows, and return the checks.
+
+    All counts come with the writes: raw trips are read once, stored tables not at all.
+    """
+    built, counts = build_warehouse_counted(spark, raw, out, rules)
+    summary = counted_checks(spark, counts.tables, built.paths)
     require_rows(summary)
-    nulls = [key_nulls(tables[n], n, keys) for n, keys in KEY_COLUMNS.items() if n in tables]
+    raw_rows = counts.load["raw_rows"]
+    load = [("raw", raw_rows, len(raw.columns), ",".join(raw.columns))]
     return {
+        "load": spark.createDataFrame(load, "table_name string, row_count long, column_count int, column_names string"),
         "tables": summary,
-        "key_nulls": union_all(nulls),
-        "reconciliation": reconcile(raw, tables[FACT]),
+        "key_nulls": counted_key_nulls(spark, counts.tables),
+        "removed": spark.createDataFrame(list(counts.removed().items()), "reason string, removed_rows long"),
+        "reconciliation": counted_reconciliation(spark, raw_rows, counts.tables[FACT]["row_count"]),
     }
 
 
@@ -153,7 +156,6 @@ def main(argv: Sequence[str] | None = None) -> None:
         write_reports(profile_tables(raw, args.order_by), args.out)
     elif args.command == "build":
         raw = read_first_available(spark, args.raw)
-        load_summary(raw, "raw").show(truncate=False)
         for table in build(spark, raw, args.out, CleaningRules(quantile_method=args.quantiles)).values():
             table.show(truncate=False)
     else:

@@ -20,6 +20,32 @@ def drop_exact_duplicates(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def distinct_positive(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct rows whose measure is positive, and one row of counts over all rows, from one shuffle.
+
+    The counts are ``raw_rows``, ``unmeasured_rows`` (zero, negative or null measure) and
+    ``distinct_rows``. Copies are numbered while they are combined; rows that go because of their
+    measure lose their values first, so that those of a map task leave it as one row. An
+    empty table counts 0 throughout.
+    """
+    taken = {c.lower() for c in df.columns}
+    kept, copies = (next(n for i in range(len(taken) + 1) if (n := f"_{x}{i}") not in taken) for x in ("kept", "copies"))
+    named = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    measured = df.select(F.coalesce(F.col(column) > 0, F.lit(False)).alias(kept), *named).select(
+        kept, *[F.when(F.col(kept), n).alias(c) for c, n in zip(df.columns, named)]
+    )
+    groups = measured.groupBy(kept, *named).agg(F.count(F.lit(1)).alias(copies))
+    # A condition on the flag alone would be pushed beneath the grouping, here but not for the counts,
+    # and the rows would be read and shuffled twice.
+    rows = groups.filter(F.when(F.col(copies) > 0, F.col(kept))).select(*named)
+    counts = groups.agg(
+        F.coalesce(F.sum(copies), F.lit(0)).alias("raw_rows"),
+        F.coalesce(F.sum(F.when(~F.col(kept), F.col(copies))), F.lit(0)).alias("unmeasured_rows"),
+        F.count_if(kept).alias("distinct_rows"),
+    )
+    return rows, counts
+
+
 def keep_positive(df: DataFrame, column: str) -> DataFrame:
     """Drop rows whose measure is zero, negative or null."""
     return df.filter(F.col(column) > 0)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.aggregates import null_count, row_count
@@ -33,6 +33,10 @@ def key_nulls(df: DataFrame, name: str, keys: Sequence[str]) -> DataFrame:
     ).select(F.lit(name).alias("table_name"), F.inline("s"))
 
 
+def _status() -> Column:
+    return F.when(F.col("row_count") == 0, "FAIL").when(F.col("null_keys") > 0, "WARN").otherwise("OK")
+
+
 def table_check(
     df: DataFrame, name: str, keys: Sequence[str] = (), path: str | None = None
 ) -> DataFrame:
@@ -47,10 +51,7 @@ def table_check(
             F.lit(name).alias("table_name"),
             "row_count",
             "null_keys",
-            F.when(F.col("row_count") == 0, "FAIL")
-            .when(F.col("null_keys") > 0, "WARN")
-            .otherwise("OK")
-            .alias("status"),
+            _status().alias("status"),
             F.lit(path).cast("string").alias("path"),
         )
     )
@@ -71,6 +72,30 @@ def validate_tables(
     )
 
 
+def counted_checks(
+    spark: SparkSession, counts: Mapping[str, Mapping[str, int]], paths: Mapping[str, str] | None = None
+) -> DataFrame:
+    """``validate_tables`` from counts that were taken while the tables were written: by table, its
+    ``row_count`` and the nulls of each key column."""
+    rows = [
+        (name, found["row_count"], sum(n for k, n in found.items() if k != "row_count"), (paths or {}).get(name))
+        for name, found in counts.items()
+    ]
+    checked = spark.createDataFrame(rows, "table_name string, row_count long, null_keys long, path string")
+    return checked.select("table_name", "row_count", "null_keys", _status().alias("status"), "path")
+
+
+def counted_key_nulls(spark: SparkSession, counts: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """``key_nulls`` of all tables, from the same counts."""
+    rows = [(name, k, n) for name, found in counts.items() for k, n in found.items() if k != "row_count"]
+    return spark.createDataFrame(rows, "table_name string, column_name string, null_count long")
+
+
+def counted_reconciliation(spark: SparkSession, raw_rows: int, stored_rows: int, nudge: float = 0.0) -> DataFrame:
+    """``reconcile`` from two counts."""
+    return _reconciled(spark.createDataFrame([(raw_rows, stored_rows)], "raw_rows long, stored_rows long"), nudge)
+
+
 def require_rows(summary: DataFrame) -> None:
     """Raise if a table has no rows. Brings one name per failed table to the driver."""
     empty = [r["table_name"] for r in summary.filter("status = 'FAIL'").select("table_name").collect()]
@@ -84,15 +109,16 @@ def reconcile(raw: DataFrame, stored: DataFrame, nudge: float = 0.0) -> DataFram
     after = stored.agg(row_count().alias("stored_rows")).select(
         F.lit(0).cast("bigint").alias("raw_rows"), "stored_rows"
     )
+    both = before.union(after).agg(F.sum("raw_rows").alias("raw_rows"), F.sum("stored_rows").alias("stored_rows"))
+    return _reconciled(both, nudge)
+
+
+def _reconciled(both: DataFrame, nudge: float) -> DataFrame:
     removed = F.col("raw_rows") - F.col("stored_rows")
     pct = F.when(F.col("raw_rows") > 0, F.lit(100.0) * removed / F.col("raw_rows")).otherwise(F.lit(0.0))
-    return (
-        before.union(after)
-        .agg(F.sum("raw_rows").alias("raw_rows"), F.sum("stored_rows").alias("stored_rows"))
-        .select(
-            "raw_rows",
-            "stored_rows",
-            removed.alias("removed_rows"),
-            rounded(pct, 2, nudge).alias("removed_pct"),
-        )
+    return both.select(
+        "raw_rows",
+        "stored_rows",
+        removed.alias("removed_rows"),
+        rounded(pct, 2, nudge).alias("removed_pct"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tripmart.functions.scalars import (
@@ -86,7 +86,25 @@ def clean_trips(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataF
     distinct = raw.transform(cleaning.drop_exact_duplicates).transform(
         cleaning.keep_positive, "trip_distance"
     )
-    limits = trip_limits(distinct, rules)
+    return _plausible_trips(distinct, trip_limits(distinct, rules), rules)
+
+
+def clean_trips_counted(
+    raw: DataFrame, rules: CleaningRules, loaded: Observation
+) -> tuple[DataFrame, DataFrame]:
+    """``clean_trips``, with the rows that came in counted by the same plan; and the counts by themselves.
+
+    ``loaded`` is told ``raw_rows``, ``unmeasured_rows`` and ``distinct_rows`` when the trips have been
+    written. What it observes is the maximum of one row made behind the shuffle, which stays the same
+    when a lost task is repeated; a count of rows observed before a shuffle would grow.
+    """
+    distinct, counts = cleaning.distinct_positive(raw, "trip_distance")
+    observed = counts.observe(loaded, *[F.max(c).alias(c) for c in counts.columns])
+    limits = trip_limits(distinct, rules).join(F.broadcast(observed))  # exactly one row each
+    return _plausible_trips(distinct, limits, rules), counts
+
+
+def _plausible_trips(distinct: DataFrame, limits: DataFrame, rules: CleaningRules) -> DataFrame:
     prepared = (
         distinct.transform(
             cleaning.standardise_timestamps,

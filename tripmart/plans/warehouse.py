@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.types import StructType
 
 from tripmart.operators.star import dimension, role_dimension, surrogate_key
+from tripmart.operators.validation import KEY_COLUMNS
 from tripmart.plans.trip_rules import FACT_COLUMNS, TIME_COLUMNS, CleaningRules
-from tripmart.plans.trips import clean_trips
+from tripmart.plans.trips import clean_trips, clean_trips_counted
 from tripmart.sources.readers import read_available, read_table, register_views
-from tripmart.sources.sinks import gather_by, write_table, write_tables
+from tripmart.sources.sinks import gather_by, told, write_counted, write_table, write_tables
 
 FACT = "fact_trips"
 DIMENSIONS = ("dim_time", "dim_location", "dim_payment", "dim_vendor")
@@ -85,3 +86,53 @@ def build_warehouse(
     paths = {FACT: fact_path, **write_tables(dimensions, base)}
     schemas = {FACT: fact.schema, **{n: df.schema for n, df in dimensions.items()}}
     return Warehouse(paths, schemas)
+
+
+@dataclass(frozen=True)
+class BuildCounts:
+    """What the jobs of one build have counted on their way.
+
+    ``load`` holds ``raw_rows``, ``unmeasured_rows`` and ``distinct_rows``; ``tables`` holds by table the
+    ``row_count`` and, by key column, the nulls.
+    """
+
+    load: dict[str, int]
+    tables: dict[str, dict[str, int]]
+
+    def removed(self) -> dict[str, int]:
+        """Rows that went, by reason: repeated, without a measure, of implausible duration."""
+        stored = self.tables[FACT]["row_count"]
+        load = self.load
+        return {
+            "no_distance": load["unmeasured_rows"],
+            "repeated": load["raw_rows"] - load["unmeasured_rows"] - load["distinct_rows"],
+            "implausible_duration": load["distinct_rows"] - stored,
+        }
+
+
+def build_warehouse_counted(
+    spark: SparkSession,
+    raw: DataFrame,
+    base: str,
+    rules: CleaningRules = CleaningRules(),
+    key: str = "sequence",
+) -> tuple[Warehouse, BuildCounts]:
+    """``build_warehouse``, with all counts for the load summary, the checks and the reconciliation.
+
+    Raw trips are read once and no stored table is read to count it. Counts hold when executors are lost:
+    those of the load are made behind the shuffle of the duplicate removal, those of a table in the tasks that write it.
+    Only where no trip is left, so that nothing runs which could count, the load is counted by a job of its own.
+    """
+    loaded = Observation()
+    clean, load = clean_trips_counted(raw, rules, loaded)
+    fact = fact_trips(gather_by(clean, PARTITIONS), key)
+    paths = {FACT: f"{base.rstrip('/')}/{FACT}"}
+    counts = {
+        FACT: write_counted(fact, paths[FACT], KEY_COLUMNS[FACT], PARTITIONS, gather=False, sort_within=["pickup_date"])
+    }
+    found = told(loaded) or load.first().asDict()
+    schemas = {FACT: fact.schema}
+    for name, df in trip_dimensions(read_table(spark, paths[FACT], schema=fact.schema)).items():
+        paths[name], schemas[name] = f"{base.rstrip('/')}/{name}", df.schema
+        counts[name] = write_counted(df, paths[name], KEY_COLUMNS[name])
+    return Warehouse(paths, schemas), BuildCounts(found, counts)
