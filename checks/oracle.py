@@ -755,3 +755,21 @@ ORACLE["build_counted_steps"] = over_fact(f"""
     UNION ALL
     SELECT 'implausible_duration', CAST((SELECT count(*) FROM valid) - (SELECT count(*) FROM fact) AS BIGINT)
     UNION ALL SELECT 'stored', {COUNT} FROM fact""")
+
+ORACLE["landing_published_months"] = " UNION ALL ".join(
+    f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+               {COUNT} AS order_count, {r("sum(o_totalprice)")} AS total_price, {state} AS state
+        FROM orders WHERE {part} GROUP BY ALL"""
+    for state, part in ((1, "o_orderkey % 2 = 0"), (2, "true"))
+)
+ORACLE["star_stable_keys"] = f"""
+    WITH early AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_shipdate < DATE '1995-01-01'),
+    late AS (SELECT l_partkey, l_suppkey FROM lineitem EXCEPT SELECT * FROM early),
+    keys AS (
+      SELECT *, row_number() OVER (ORDER BY l_partkey, l_suppkey) AS pair_key FROM early
+      UNION ALL
+      SELECT *, (SELECT count(*) FROM early) + row_number() OVER (ORDER BY l_partkey, l_suppkey) FROM late
+    )
+    SELECT CAST(pair_key AS BIGINT) AS pair_key, l_partkey, l_suppkey, {COUNT} AS line_count,
+           CAST(sum(l_quantity) AS DOUBLE) AS quantity
+    FROM lineitem JOIN keys USING (l_partkey, l_suppkey) GROUP BY 1, 2, 3"""

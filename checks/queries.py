@@ -17,7 +17,7 @@ from tripmart.functions import (
     rounded,
     safe_ratio,
 )
-from tripmart.operators import cleaning, profile, scans, sketches, star, validation
+from tripmart.operators import cleaning, keymap, profile, scans, sketches, star, validation
 from tripmart.operators.quantiles import quantiles
 from tripmart.plans import charts, reports, trips, warehouse
 from tripmart.plans.trip_rules import (
@@ -27,7 +27,7 @@ from tripmart.plans.trip_rules import (
     PASSENGER_GROUPS,
     WEEKDAY_NAMES,
 )
-from tripmart.sources import landing, readers, sinks
+from tripmart.sources import landing, publish, readers, sinks
 from tripmart.sources.workspace import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -153,6 +153,21 @@ def landing_by_month(spark, sf_dir):
 # --- sinks ------------------------------------------------------------------
 
 
+@query
+def landing_published_months(spark, sf_dir):
+    """All months published in part, then whole; an older state beside the newest one."""
+    orders, base = table(spark, sf_dir, "orders"), workspace(spark, "published")
+    landing.land_published(orders.filter("o_orderkey % 2 = 0"), "o_orderdate", base, "orders")
+    path = landing.land_published(orders, "o_orderdate", base, "orders")
+    return star.union_all([
+        publish.read_published(spark, path, version=state)
+        .groupBy("year", "month")
+        .agg(row_count().alias("order_count"), rounded(F.sum("o_totalprice"), 2, NUDGE).alias("total_price"))
+        .withColumn("state", F.lit(state))
+        for state in (1, 2)
+    ])
+
+
 @query
 def sink_overwrite_parquet(spark, sf_dir):
     path = workspace(spark, "customer")
@@ -383,6 +398,19 @@ def clean_repair_by_distance_share(spark, sf_dir):
 # --- star schema ------------------------------------------------------------
 
 
+@query
+def star_stable_keys(spark, sf_dir):
+    """Keys of part and supplier from two builds: the first over early lines, the second over all."""
+    lines, path = table(spark, sf_dir, "lineitem"), workspace(spark, "pair-keys")
+    natural = ["l_partkey", "l_suppkey"]
+    for rows in (lines.filter("l_shipdate < '1995-01-01'"), lines):
+        keymap.extend_key_map(rows, natural, path, "pair_key")
+    keyed = keymap.with_keys(lines.select(*natural, "l_quantity"), publish.read_published(spark, path), natural, "pair_key")
+    return keyed.groupBy("pair_key", *natural).agg(
+        row_count().alias("line_count"), F.sum("l_quantity").cast("double").alias("quantity")
+    )
+
+
 @query
 def star_fact_stored(spark, sf_dir):
     columns = [c for c in FACT_COLUMNS if c != "trip_id"]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmart.functions.aggregates import row_count
+from tripmart.sources.publish import publish
 from tripmart.sources.sinks import write_table
 
 # Accepted file types and the fewest rows a landed file should have.
@@ -238,3 +239,11 @@ def land_by_month(df: DataFrame, ts: str, base: str, dataset: str) -> str:
     """
     dated = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
     return write_table(dated, f"{base.rstrip('/')}/{dataset}", ["year", "month"], replace="partitions")
+
+
+def land_published(df: DataFrame, ts: str, base: str, dataset: str) -> str:
+    """``land_by_month`` for datasets that are read while they are landed: the months show together, once all
+    of them are written. Read with ``publish.read_published``."""
+    path = f"{base.rstrip('/')}/{dataset}"
+    publish(df.withColumns({"year": F.year(ts), "month": F.month(ts)}), path, ["year", "month"])
+    return path
