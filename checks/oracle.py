@@ -773,3 +773,11 @@ ORACLE["star_stable_keys"] = f"""
     SELECT CAST(pair_key AS BIGINT) AS pair_key, l_partkey, l_suppkey, {COUNT} AS line_count,
            CAST(sum(l_quantity) AS DOUBLE) AS quantity
     FROM lineitem JOIN keys USING (l_partkey, l_suppkey) GROUP BY 1, 2, 3"""
+
+ORACLE["star_bucketed_join"] = f"""
+    SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS order_year, {COUNT} AS line_count,
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2"""
+ORACLE["star_period_pruned"] = over_fact(f"""
+    SELECT pickup_date, pickup_hour, {COUNT} AS trip_count FROM fact
+    WHERE is_weekend AND pickup_hour < 12 AND pickup_date < DATE '2024-01-20' GROUP BY 1, 2""")

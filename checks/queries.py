@@ -17,7 +17,7 @@ from tripmart.functions import (
     rounded,
     safe_ratio,
 )
-from tripmart.operators import cleaning, keymap, profile, scans, sketches, star, validation
+from tripmart.operators import cleaning, keymap, layout, profile, scans, sketches, star, validation
 from tripmart.operators.quantiles import quantiles
 from tripmart.plans import charts, reports, trips, warehouse
 from tripmart.plans.trip_rules import (
@@ -411,6 +411,27 @@ def star_stable_keys(spark, sf_dir):
     )
 
 
+@query
+def star_bucketed_join(spark, sf_dir):
+    """Order lines and orders stored in the same buckets, joined side by side."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice", "l_shipdate")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    joined = layout.co_bucket(lines, orders, "l_orderkey", "o_orderkey").join(spark, "left")
+    return joined.groupBy("o_orderpriority", F.year("o_orderdate").alias("order_year")).agg(
+        row_count().alias("line_count"),
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("price"),
+    )
+
+
+@query
+def star_period_pruned(spark, sf_dir):
+    """Trips of hours chosen in the time dimension; the months they lie in are found while running."""
+    built = stored(spark, sf_dir)
+    chosen = "is_weekend AND pickup_hour < 12 AND pickup_date < '2024-01-20'"
+    trips_then = warehouse.trips_at_times(fact(spark, sf_dir), built.table(spark, "dim_time"), chosen)
+    return trips_then.groupBy("pickup_date", "pickup_hour").agg(row_count().alias("trip_count"))
+
+
 @query
 def star_fact_stored(spark, sf_dir):
     columns = [c for c in FACT_COLUMNS if c != "trip_id"]

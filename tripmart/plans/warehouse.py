@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tripmart.operators.star import dimension, role_dimension, surrogate_key
@@ -88,6 +89,22 @@ def build_warehouse(
     return Warehouse(paths, schemas)
 
 
+def trips_at_times(fact: DataFrame, dim_time: DataFrame, where: str) -> DataFrame:
+    """Trips whose hour satisfies a condition on ``dim_time``.
+
+    The year and month of the dimension's date are part of the join, so the months that the condition
+    leaves are known before the fact is read, and the others are not opened. Hours are unique in ``dim_time``.
+    """
+    trips, times = fact.alias("trips"), dim_time.filter(where).alias("times")
+    condition = (
+        (F.col("trips.pickup_date") == F.col("times.pickup_date"))
+        & (F.col("trips.pickup_hour") == F.col("times.pickup_hour"))
+        & (F.col("trips.pickup_year") == F.year("times.pickup_date"))
+        & (F.col("trips.pickup_month") == F.month("times.pickup_date"))
+    )
+    return trips.join(times, condition).select("trips.*")
+
+
 @dataclass(frozen=True)
 class BuildCounts:
     """What the jobs of one build have counted on their way.
