@@ -7,7 +7,9 @@ import random
 import numpy as np
 import pytest
 
-from tripmart.llm import katz, ngrams
+from pyspark.sql import functions as F
+
+from tripmart.llm import katz, ngram_chunks, ngrams
 
 
 def plain(train, order):
@@ -81,3 +83,44 @@ def test_keys(spark):
     df = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a, b)], "a long, b long")
     want = [r[0] for r in df.selectExpr("xxhash64(a, b)").collect()]
     assert ngrams.pair_key(a.view(np.uint64), b.view(np.uint64)).view(np.int64).tolist() == want
+
+
+@pytest.mark.parametrize("order, keys_per_range", [(2, 40), (2, 10**6), (3, 40), (1, 40)])
+def test_chunks_against_plain(spark, order, keys_per_range):
+    rng = random.Random(3)
+    words = [f"w{int(rng.expovariate(0.15))}" for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 25))) + rng.choice(["", " É\t", "\n"]) for _ in range(80)]
+    texts += [None, "", "new word here", "w1 W1", "w1 W1", "w2 " * 5000]
+    df = spark.createDataFrame([(i, t, i) for i, t in enumerate(texts)], "doc_id int, text string, chunk int").repartition(3)
+    learned = [t for i, t in enumerate(texts) if i % 3]
+    score, _, seen = plain(learned, order)
+    out = ngram_chunks.scores_by_part(
+        df, F.col("doc_id") % 3 != 0, keep=("doc_id", "chunk"), order=order, keys_per_range=keys_per_range
+    ).collect()
+    assert sorted(r.doc_id for r in out) == list(range(len(texts)))
+    total = sum(seen.values())
+    for r in out:
+        w = [*(texts[r.doc_id] or "").lower().split(), "</s>"]
+        assert r.chunk == r.doc_id
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(w), sum((x,) in seen for x in w), total)
+        base = sum(math.log10((seen[(x,)] + 1) / (total + len(seen) + 1)) for x in w)
+        assert math.isclose(r.base_score, base, rel_tol=1e-9)
+        assert math.isclose(r.score, score(texts[r.doc_id]), rel_tol=1e-9, abs_tol=1e-8), r
+
+
+def test_chunks_of_edge_tables(spark):
+    df = spark.createDataFrame([(1, "a b", None), (1, None, None), (2, "", False)], "doc_id int, text string, learn boolean")
+    out = ngram_chunks.scores_by_part(df, F.col("learn")).collect()
+    assert len(out) == 3 and all(r.train_tokens == 0 and r.n_known == 0 and r.score == 0.0 for r in out)
+    assert ngram_chunks.scores_by_part(df.limit(0), F.lit(True)).collect() == []
+    assert ngram_chunks.scores_by_part(df, F.lit(True)).count() == 3
+
+
+def test_packed():
+    rng = np.random.default_rng(2)
+    for n, top in [(0, 1), (1, 1), (5, 1), (1000, 200), (1000, 2**63)]:
+        v = rng.integers(0, top, n).astype(np.uint64)
+        assert (ngram_chunks.unpacked(ngram_chunks.packed(v)) == v).all()
+        keys = np.unique(v * np.uint64(2) + np.uint64(1))
+        assert (ngram_chunks.unpacked_keys(ngram_chunks.packed_keys(keys)) == keys).all()
+        assert (ngram_chunks.unpacked_floats(ngram_chunks.packed_floats(v / 3)) == v / 3).all()

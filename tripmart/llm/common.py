@@ -39,6 +39,18 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_lean(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """As ``stored``; what was shuffled for the table goes from the disks when it is written, not when
+    the driver's memory is next cleaned."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        return stored(spark, df, name)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as empty text."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

@@ -354,3 +354,12 @@ def katz_scores(
     counted = stored(docs.sparkSession, ngrams.count_ngrams(train, order, text_col), "katz-ngrams")
     table, totals = ngrams.fit(counted, order)
     return ngrams.score(docs, table, totals, order, text_col, keep)
+
+
+def katz_scores_by_part(
+    docs: DataFrame, learn: Column, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), order: int = 2
+) -> DataFrame:
+    """Scores of all ``docs`` under all word n-grams of those where ``learn`` holds (``ngram_chunks.py``)."""
+    from tripmart.llm import ngram_chunks
+
+    return ngram_chunks.scores_by_part(docs, learn, text_col, keep, order)

@@ -13,7 +13,7 @@ from tripmart.llm.common import remainder, table
 from tripmart.llm.decontamination import contamination
 from tripmart.llm.edits import edited_counts
 from tripmart.llm.html_text import main_text
-from tripmart.llm.katz import katz_scores
+from tripmart.llm.katz import katz_scores_by_part
 from tripmart.llm.licenses import license_labels
 from tripmart.llm.merkle import folded, manifest, proof_digest
 from tripmart.llm.oracle import ORACLE
@@ -112,7 +112,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", (remainder("doc_id", 7) == 2).alias("held_out")
     )
-    return katz_scores(docs, docs.filter("not held_out"), keep=("doc_id", "held_out"))
+    return katz_scores_by_part(docs, ~F.col("held_out"), keep=("doc_id", "held_out"))
 
 
 def manifest_digests(docs: DataFrame) -> DataFrame:
