@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tripmart.llm.common import slices, stored_lean
 from tripmart.llm.katz import MAX_DISCOUNTED, good_turing
-from tripmart.llm.ngrams import ORDER, orders, sequence
+from tripmart.llm.ngrams import ORDER, pair_key, sequence
 
 SLICES_PER_CHUNK = 6
 KEYS_PER_RANGE = 1_000_000
@@ -89,23 +89,16 @@ def _kept(n: np.ndarray, factors: list[float]) -> np.ndarray:
     return n * share[np.minimum(n, MAX_DISCOUNTED + 1).astype(np.int64)]
 
 
-def _parts(key: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys of the valid places, the places, and which key each has."""
-    places = np.nonzero(valid)[0]
-    distinct, which = np.unique(key[places], return_inverse=True)
-    return distinct, places, which
-
-
 class _Chunk:
-    """Keys of a chunk's tokens, with their place in the text, number of the text, and whether they are learned."""
+    """A chunk's tokens: place in the text, number of the text, whether they are learned, and n-grams by number."""
 
     def __init__(self, lengths, learn, words: bytes, ids: bytes):
         size = np.asarray(lengths, np.int64)
-        self.owner = np.repeat(np.arange(len(size)), size)
-        self.place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        self.owner = np.repeat(np.arange(len(size), dtype=np.int32), size)
+        starts = np.cumsum(size) - size
+        self.place = (np.arange(int(size.sum())) - np.repeat(starts, size)).astype(np.int32)
         self.learn = np.repeat(np.asarray(learn, bool), size)
-        distinct = unpacked_keys(words)
-        self.keys = distinct[unpacked(ids).astype(np.int64)] if len(distinct) else distinct
+        self.words, self.ids = unpacked_keys(words), unpacked(ids).astype(np.int32)
 
     @classmethod
     def of(cls, row: pa.Table | pa.RecordBatch, i: int = 0) -> _Chunk:
@@ -113,6 +106,25 @@ class _Chunk:
         return cls(*(texts.field(k).to_numpy(zero_copy_only=False) for k in ("n", "learn")),
                    row.column("words")[i].as_py(), row.column("ids")[i].as_py())
 
+    def levels(self, order: int):
+        """For each order: the distinct n-grams, the places they end at, the number of the n-gram there, and
+        from the second order on the distinct histories and the number of the history."""
+        places = np.nonzero(self.place >= 1)[0]
+        # The start has the smallest key and is no n-gram, but it is a history.
+        yield self.words[1:], places, self.ids[places] - 1, None, None
+        before, number = self.words, self.ids
+        key = self.words[self.ids] if order > 1 else None
+        for o in range(2, order + 1):
+            key = pair_key(np.concatenate([key[:1], key[:-1]]), key)
+            places = np.nonzero(self.place >= o - 1)[0]
+            distinct, which = np.unique(key[places], return_inverse=True)
+            led = number[places - 1]
+            used = np.zeros(len(before), bool)
+            used[led] = True
+            yield distinct, places, which, before[used], (np.cumsum(used) - 1)[led]
+            before, number = distinct, np.zeros(len(key), np.int32)
+            number[places] = which
+
 
 def chunks(docs: DataFrame, learn: Column, text_col: str, keep: tuple[str, ...]) -> DataFrame:
     """``chunk, tokens, texts, words, ids``, one row per chunk. ``texts`` holds the kept columns as ``k0, k1, ...``."""
@@ -161,11 +173,8 @@ def _asked(table: DataFrame, order: int, n_ranges: int) -> DataFrame:
             for i in range(batch.num_rows):
                 c = _Chunk.of(batch, i)
                 number = batch.column("chunk")[i].as_py()
-                for o, (key, valid) in enumerate(orders(c.keys, c.place, order), start=1):
-                    distinct = np.unique(key[valid])
-                    learned, times = np.unique(key[valid & c.learn], return_counts=True)
-                    n = np.zeros(len(distinct), np.uint64)
-                    n[np.searchsorted(distinct, learned)] = times
+                for o, (distinct, places, which, _, _) in enumerate(c.levels(order), start=1):
+                    n = np.bincount(which[c.learn[places]], minlength=len(distinct)).astype(np.uint64)
                     yield _messages(number, o, distinct, n_ranges, [n], ["n"])
 
     return table.select("chunk", "texts", "words", "ids").mapInArrow(
@@ -197,12 +206,12 @@ def _totals_of_range(group: pa.Table) -> pa.Table:
         keys = [unpacked_keys(group.column("keys")[r].as_py()) for r in rows.tolist()]
         n = np.concatenate([unpacked(group.column("n")[r].as_py()) for r in rows.tolist()]).astype(np.int64)
         distinct, which = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.zeros(len(distinct), np.int64)
-        np.add.at(total, which, n)
-        learned = np.nonzero(n)[0]
-        _, first = np.unique(which[learned], return_index=True)
+        total = np.bincount(which, n, len(distinct)).astype(np.int64)
+        learned = np.nonzero(n)[0][::-1]
+        first = np.full(len(distinct), -1)
+        first[which[learned]] = learned  # of equal numbers the last is kept, so the first that learned it
         own = np.zeros(len(n), np.uint64)
-        own[learned[first]] = 1
+        own[first[first >= 0]] = 1
         answer = total[which].astype(np.uint64)
         at = 0
         for r, k in zip(rows.tolist(), keys):
@@ -229,12 +238,9 @@ def _answer(rows: pa.Table, o: int, column: str, read=unpacked) -> np.ndarray:
 class _Level:
     """The n-grams of one order in a chunk, with what is known of them and of their histories."""
 
-    def __init__(self, grams, o: int, answers: pa.Table, weights: pa.Table | None):
-        key, valid = grams[o - 1]
-        _, self.places, self.which = _parts(key, valid)
+    def __init__(self, level, o: int, answers: pa.Table, weights: pa.Table | None):
+        _, self.places, self.which, self.histories, self.led = level
         self.n = _answer(answers, o, "n").astype(np.int64)
-        if o > 1:
-            self.histories, self.led = np.unique(grams[o - 2][0][self.places - 1], return_inverse=True)
         if weights is not None:
             self.norm = _answer(weights, o, "norm").astype(np.float64)
             self.weight = _answer(weights, o, "weight", unpacked_floats)
@@ -247,14 +253,16 @@ def _history_sums(table: DataFrame, answers: DataFrame, weights: DataFrame | Non
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         c = _Chunk.of(left)
         known = _split(right)
-        grams = orders(c.keys, c.place, o)
-        level, lower = _Level(grams, o, known[0], None), _Level(grams, o - 1, known[0], known[1] if o > 2 else None)
+        *_, lower, level = c.levels(o)
+        lower, level = _Level(lower, o - 1, known[0], known[1] if o > 2 else None), _Level(level, o, known[0], None)
         # One place of each n-gram, and what the shorter n-gram there has.
         place_of = np.zeros(len(level.n), np.int64)
         place_of[level.which] = np.arange(len(level.places))
         mine = np.nonzero(_answer(known[0], o, "own"))[0]
         at = place_of[mine]
-        below = np.searchsorted(lower.places, level.places[at])
+        row_of = np.zeros(len(c.place), np.int32)
+        row_of[lower.places] = np.arange(len(lower.places))
+        below = row_of[level.places[at]]
         kept = _kept(lower.n[lower.which[below]], model["factors"][o - 1])
         p = kept / (model["norm"] if o == 2 else lower.norm[lower.led[below]])
         n, led = level.n[mine], level.led[at]
@@ -343,10 +351,10 @@ def scores_by_part(
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         c = _Chunk.of(left)
         known = _split(right)
-        grams = orders(c.keys, c.place, order)
-        value, open_ = np.zeros(len(c.keys)), c.place >= 1
+        levels = list(c.levels(order))
+        value, open_ = np.zeros(len(c.place)), c.place >= 1
         for o in range(order, 1, -1):
-            level = _Level(grams, o, *known)
+            level = _Level(levels.pop(), o, *known)
             at = np.nonzero(open_[level.places])[0]
             here, led = level.places[at], level.led[at]
             n, history = level.n[level.which[at]], level.norm[led]
@@ -354,8 +362,8 @@ def scores_by_part(
             # A history that was never seen leaves all to the shorter one.
             value[here] += np.log10(np.where(hit, _kept(n, factors[o]) / np.maximum(history, 1), np.where(history > 0, level.weight[led], 1.0)))
             open_[here[hit]] = False
-        level = _Level(grams, 1, known[0], None)
-        n = np.zeros(len(c.keys), np.int64)
+        level = _Level(levels.pop(), 1, known[0], None)
+        n = np.zeros(len(c.place), np.int64)
         n[level.places] = level.n[level.which]
         single = np.log10(np.where(n > 0, _kept(n, factors[1]) / norm, model["unseen"]), where=open_, out=np.zeros(len(n)))
         value += single
