@@ -36,7 +36,7 @@ from tripmart.llm.common import slices, stored_lean
 from tripmart.llm.katz import MAX_DISCOUNTED, good_turing
 from tripmart.llm.ngrams import ORDER, pair_key, sequence
 
-SLICES_PER_CHUNK = 6
+SLICES_PER_CHUNK = 3  # of some 4 MB of text each
 KEYS_PER_RANGE = 1_000_000
 MAX_RANGES = 200_000  # beyond, ranges grow: messages would hold a handful of keys
 _HEAD = struct.Struct("<IB")
@@ -121,7 +121,8 @@ class _Chunk:
             led = number[places - 1]
             used = np.zeros(len(before), bool)
             used[led] = True
-            yield distinct, places, which, before[used], (np.cumsum(used) - 1)[led]
+            which = which.astype(np.int32)
+            yield distinct, places, which, before[used], (np.cumsum(used, dtype=np.int32) - 1)[led]
             before, number = distinct, np.zeros(len(key), np.int32)
             number[places] = which
 
