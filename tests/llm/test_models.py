@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from tripmart.llm import katz, language, toxicity
 from tripmart.llm.decontamination import contamination
@@ -167,3 +168,24 @@ def test_winnowing(spark):
     a, b = [{e >> 23 for e in r.entries} for r in fingerprint_edits(pair).collect()]
     assert a & b
     assert fingerprint_edits(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "binary"])
+def test_fingerprints_of_ids_that_are_no_numbers(spark, kind):
+    """The same neighbours whatever the number of ranges, nulls and equal ids included."""
+    texts = [f"text number {i} with some words of its own {i * i}" for i in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, text string")
+    as_id = {"string": "concat('document-', n)", "date": "date_add(date'2020-01-01', n)", "binary": "cast(concat('é', n) as binary)"}
+    df = df.selectExpr(f"case when n = 7 then null when n = 8 then {as_id[kind].replace('n)', '9)')} else {as_id[kind]} end as doc_id", "text")
+    one = sorted(map(str, fingerprint_edits(df, rows_per_range=1000).collect()))
+    many = sorted(map(str, fingerprint_edits(df, rows_per_range=4).collect()))
+    assert len(one) == 60 and one == many
+    rows = sorted(df.collect(), key=lambda r: r.text)
+    order = [r for r in rows if r.doc_id is not None]
+    order.sort(key=lambda r: r.doc_id, reverse=True)
+    order += [r for r in rows if r.doc_id is None]
+    want = []
+    for r, after in zip(order, [*order[1:], order[0]]):
+        moved = len(r.text) // 3
+        want.append(hashlib.sha256((r.text[: len(r.text) - moved] + after.text[:moved]).encode()).hexdigest())
+    assert sorted(want) == sorted(r.edited_sha256 for r in fingerprint_edits(df, rows_per_range=4).collect())

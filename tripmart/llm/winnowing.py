@@ -20,12 +20,14 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 GRAM_WORDS = 5
 DOUBLINGS = 3  # windows of 8 runs
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 ROWS_PER_RANGE = 2_000
 MAX_RANGES = 10_000
+IDS_PER_RANGE = 20
 PLACES = 2**23  # places below a hash; a longer text counts them modulo this number
 
 
@@ -90,29 +92,39 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, F.lit(1.0)).otherwise(both / either)
 
 
-def _below(bounds: list[float], value: Column) -> Column:
+def _below(bounds: list, value: Column) -> Column:
     """How many of the sorted bounds are below a value, by a search of two levels."""
     if not bounds:
         return F.lit(0)
     step = math.isqrt(len(bounds) - 1) + 1
     blocks = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    number = lambda row: F.array(*[F.lit(float(b)) for b in row])
+    several = lambda row: F.array(*[F.lit(b) for b in row])
     count = lambda row: F.aggregate(row, F.lit(0), lambda n, b: n + (b < value).cast("int"))
-    full = count(number([b[-1] for b in blocks]))
-    inside = F.get(F.array(*[number(b) for b in blocks]), full)
+    full = count(several([b[-1] for b in blocks]))
+    inside = F.get(F.array(*[several(b) for b in blocks]), full)
     return full * step + F.coalesce(count(inside), F.lit(0))
 
 
 def ranges(df: DataFrame, id_col: str, rows_per_range: int = ROWS_PER_RANGE) -> Column:
-    """Number of a row's range of ids, counted from the highest ids down. The cuts come from a
-    quantile sketch over all rows, at most ``MAX_RANGES`` numbers."""
-    order = F.col(id_col).cast("double")
+    """Number of a row's range of ids, counted from the highest ids down; at most ``MAX_RANGES``.
+    The cuts between numbers come from a quantile sketch over all rows. Ids of other types, text for
+    one, are cut at values of their own type: at quantiles of the distinct ids whose hash is low,
+    some ``IDS_PER_RANGE`` a range. Cuts decide only which task orders a row."""
     n = df.count()
     parts = min(MAX_RANGES, math.ceil(n / rows_per_range))
-    cuts: list[float] = []
-    if parts > 1:
-        shares = [i / parts for i in range(1, parts)]
-        cuts = sorted(set(df.agg(F.percentile_approx(order, shares, 20 * parts)).first()[0] or []))
+    cuts: list = []
+    if isinstance(df.schema[id_col].dataType, NumericType):
+        order = F.col(id_col).cast("double")
+        if parts > 1:
+            shares = [i / parts for i in range(1, parts)]
+            found = df.agg(F.percentile_approx(order, shares, 20 * parts)).first()[0] or []
+            cuts = sorted({float(c) for c in found})
+    else:
+        order = F.col(id_col)
+        if parts > 1:
+            low = F.shiftrightunsigned(F.xxhash64(order), 11) <= int(min(1.0, IDS_PER_RANGE * parts / n) * (1 << 53))
+            some = sorted(r[0] for r in df.filter(order.isNotNull() & low).select(order).distinct().collect())
+            cuts = sorted({some[i * len(some) // parts] for i in range(1, parts)}) if some else []
     return F.when(order.isNull(), F.lit(len(cuts))).otherwise(len(cuts) - _below(cuts, order))
 
 
