@@ -40,7 +40,6 @@ MAX_WORDS = 3000
 LANDMARKS = 512
 DECAY = 0.6
 GAPS = tuple((a, b) for a in range(3) for b in range(3) if a + b <= 2)
-MAX_CHARS = 1 << 20
 FLOOR, CEILING = -1.5, 1.0
 ROUNDS = 3
 CODES = 32
@@ -215,7 +214,6 @@ def least_shingle(text: str, n: int = 3) -> int:
 
 def diverse(words: list[str], k: int, limit: float) -> list[str]:
     """The first ``k`` words of a list of which no two have a kernel above ``limit``."""
-    words = words[:1500]
     gram = Landmarks.of(words)
     near = gram.rows @ gram.rows.T >= limit
     free, chosen = np.ones(len(words), bool), []
@@ -307,8 +305,9 @@ def fit(
     beyond = counted.withColumn("llr", ratio).filter(
         (F.col("toxic") >= 2) & (F.col("clean") * 20 <= F.col("toxic")) & (F.col("llr") >= math.log(max(2, counted.count())))
     )
-    positive = [r.word for r in beyond.orderBy(F.desc("llr"), "word").limit(max_words).collect()]
-    clean = counted.filter("clean >= 1").join(F.broadcast(beyond.select("word").limit(max_words)), "word", "left_anti")
+    beyond = beyond.orderBy(F.desc("llr"), "word").limit(max_words)
+    positive = [r.word for r in beyond.collect()]
+    clean = counted.filter("clean >= 1").join(F.broadcast(beyond.select("word")), "word", "left_anti")
     common = clean.orderBy(F.desc("clean"), "word").limit(max_words).collect()
     other = clean.orderBy(F.xxhash64("word")).limit(max_words).collect()
     negative = list(dict.fromkeys(r.word for r in [*common, *other]))
