@@ -106,3 +106,20 @@ def test_no_task_gets_all_rows(spark):
             # The window's second list is its partition: never empty.
             assert re.search(r"\], \[[^\]]+\], \[", window), window
         assert "CartesianProduct" not in plan
+
+
+def test_row_numbers_group_no_key(series):
+    """Row numbers and tiles keep one group per slice, not one per key, in any task."""
+    got = scans.rank_rows(series, ["k", "id"], row_number="n", ntile={"t": 4}, slices=9)
+    for aggregate in re.findall(r"HashAggregate\(keys=\[([^\]]*)\]", final_plan(got)):
+        assert "_key" not in aggregate, aggregate
+    over = Window.orderBy("k", "id")
+    want = series.withColumn("n", F.row_number().over(over)).withColumn("t", F.ntile(4).over(over))
+    assert sorted(values(got, "id", "n", "t")) == sorted(values(want, "id", "n", "t"))
+
+
+def test_slices_grow_with_the_rows(spark, series, monkeypatch):
+    monkeypatch.setattr(scans, "SLICE_ROWS", 100)
+    sliced = scans.slice_rows(series, ["k", "id"])
+    sizes = [n for _, n in values(sliced.rows.groupBy(sliced.slice).count())]
+    assert sum(sizes) == 2000 and max(sizes) <= 150 and len(sizes) > 8

@@ -30,6 +30,7 @@ from tripmart.sources.workspace import workspace
 
 # A running id holds the number of its partition above this many bits.
 ROW_BITS = 33
+SLICE_ROWS = 1 << 20  # rows of a slice at most, when the number of slices is not given
 
 
 def _fresh(taken: Sequence[str], wanted: str) -> str:
@@ -56,11 +57,11 @@ class Slices:
 
 def slice_rows(df: DataFrame, order: Sequence[Column | str], slices: int | None = None) -> Slices:
     """Range-partition, sort and store ``df``. ``slices`` is by default the session's number of
-    shuffle partitions. One shuffle."""
+    shuffle partitions, or more where slices would pass ``SLICE_ROWS`` rows. One shuffle."""
     spark = df.sparkSession
     place, tie = _fresh(df.columns, "_place"), _fresh(df.columns, "_tie")
     number, at = _fresh(df.columns, "_slice"), _fresh(df.columns, "_at")
-    count = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = slices or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // SLICE_ROWS))
     plain = [f.name for f in df.schema if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
     tied = df.select("*", F.xxhash64(*[_name(c) for c in plain]).alias(tie), F.monotonically_increasing_id().alias(place))
     keys = [*[_by(o) for o in order], F.col(tie), F.col(place)]
@@ -234,17 +235,28 @@ def rank_rows(
     names = {n: _fresh(taken, f"_{n}") for n in ("before", "dense", "tied", "all")}
     names["slice"] = _fresh(taken, "_of")
 
-    groups = sliced.rows.groupBy(F.col(sliced.slice).alias("slice"), *keys).agg(
-        F.min(sliced.at).alias("at"), F.count(F.lit(1)).alias("n")
-    )
     key = F.struct(*keys)
-    per_slice = groups.groupBy("slice").agg(
-        F.sum("n").alias("n"),
-        F.count(F.lit(1)).alias("keys"),
-        F.min_by(key, "at").alias("first"),
-        F.max_by(key, "at").alias("last"),
-        F.max("at").alias("last_at"),
-    )
+    if rank is None and dense_rank is None:
+        # Row numbers and tiles need only the rows before a slice: no group per key. ``keys``
+        # counts rows here; only dense ranks read it.
+        per_slice = sliced.rows.groupBy(F.col(sliced.slice).alias("slice")).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count(F.lit(1)).alias("keys"),
+            F.min_by(key, sliced.at).alias("first"),
+            F.max_by(key, sliced.at).alias("last"),
+            F.max(sliced.at).alias("last_at"),
+        )
+    else:
+        groups = sliced.rows.groupBy(F.col(sliced.slice).alias("slice"), *keys).agg(
+            F.min(sliced.at).alias("at"), F.count(F.lit(1)).alias("n")
+        )
+        per_slice = groups.groupBy("slice").agg(
+            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("keys"),
+            F.min_by(key, "at").alias("first"),
+            F.max_by(key, "at").alias("last"),
+            F.max("at").alias("last_at"),
+        )
     key_type = per_slice.schema["first"].dataType
     zero = F.lit(0).cast("long")
 
