@@ -37,11 +37,22 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(ascii_lower(text), SEPARATORS), "")
 
 
-def shingle_hashes(words: Column, n: int) -> Column:
-    """Hash of the ``n`` words from every place of an array column on."""
-    last = F.size(words) - n + 1
+def word_hashes(words: Column) -> Column:
+    """Hash of every word of an array column."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def shingle_hash(hashes: Column, at: Column, n: int) -> Column:
+    """Hash of the ``n`` words from place ``at`` (from 0) on, made from their word hashes; no array
+    of words is built for a place."""
+    return F.xxhash64(*(F.get(hashes, at + j) for j in range(n)))
+
+
+def shingle_hashes(hashes: Column, n: int) -> Column:
+    """Hash of the ``n`` words from every place of an array of word hashes on."""
+    last = F.size(hashes) - n + 1
     return F.when(
-        last > 0, F.transform(F.slice(words, 1, F.greatest(last, F.lit(1))), lambda w, i: F.xxhash64(F.slice(words, i + 1, n)))
+        last > 0, F.transform(F.slice(hashes, 1, F.greatest(last, F.lit(1))), lambda h, i: shingle_hash(hashes, i, n))
     ).otherwise(F.array().cast("array<bigint>"))
 
 
@@ -61,8 +72,11 @@ def _tokens(windows: DataFrame, n: int) -> DataFrame:
         "window_id", "words", F.least(F.size("words"), F.lit(n)).alias("n")
     )
     places = F.sequence(F.lit(0), F.size("words") - F.col("n"))
-    cut = distinct.select("*", F.explode(places).alias("offset"))
-    return cut.withColumn("token", F.xxhash64(F.slice("words", F.col("offset") + 1, F.col("n"))))
+    cut = distinct.select("*", word_hashes(F.col("words")).alias("hashes"), F.explode(places).alias("offset"))
+    token = F.when(F.lit(False), F.lit(None).cast("long"))
+    for k in range(1, n + 1):
+        token = token.when(F.col("n") == k, shingle_hash(F.col("hashes"), F.col("offset"), k))
+    return cut.withColumn("token", token).drop("hashes")
 
 
 def contamination(
@@ -93,11 +107,11 @@ def contamination(
     # Rows may repeat, so that an id alone does not name a row.
     keyed = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     keyed = keyed.withColumn("key", F.xxhash64("id", "text"))
-    worded = keyed.select("key", words_of(F.col("text")).alias("w"))
+    worded = keyed.select("key", word_hashes(words_of(F.col("text"))).alias("hw"))
     found = None
     wanted = tokens.select("token", "n").distinct()
     for n in sizes:
-        hashed = worded.select("key", F.size("w").alias("n_words"), shingle_hashes(F.col("w"), n).alias("h"))
+        hashed = worded.select("key", F.size("hw").alias("n_words"), shingle_hashes(F.col("hw"), n).alias("h"))
         # The outer form: for the plain one Spark infers a filter on the array and would compute
         # the words again for every place.
         placed = hashed.select("key", "n_words", F.posexplode_outer("h").alias("pos", "token"))
